@@ -7,7 +7,7 @@ from harness.views import VIEWS_SQL
 # Scalar functions as SQL text.
 
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(133) || chr(160)"
-_INVALID = "'000000nan', 'nan', '', '0', '-', '000000000', 'none'"
+_INVALID = "'00000none', '000000nan', 'nan', '', '0', '-', '000000000', 'none'"
 
 
 def _strip(x: str) -> str:
@@ -40,7 +40,7 @@ def _norm(x: str) -> str:
 
 
 def _invalid(x: str) -> str:
-    return f"({_strip(f'lower({_clean(x)})')} IN ({_INVALID}) OR {_norm(x)} IN ({_INVALID}, '-00000000'))"
+    return f"({_strip(f'lower({_clean(x)})')} IN ({_INVALID}) OR {_norm(x)} IN ({_INVALID}, '-00000000', '00000none'))"
 
 
 def _title(x: str) -> str:

@@ -175,11 +175,16 @@ def activity_since(spark, sf):
 
 @query
 def programme_class(spark, sf):
-    partners = F.array(*[F.lit(p).cast("string") for p in ("AP", "BS", "ZZ", " nan", None)])
+    partners = F.array(*[F.lit(p).cast("string") for p in ("AP", "BS", "ZZ", "nan", None)])
+    term = F.col("term")
     rows = fx.courses(spark, sf).select(
-        "short_name", rf.cut_term(F.col("term")).alias("term"), F.explode(partners).alias("partner")
+        "short_name",
+        rf.cut_term(term).alias("term"),
+        rf.programme_suffix(term).alias("suffix"),
+        F.explode(partners).alias("partner"),
     )
-    return programme.with_programme_class(rows)
+    defaulted = rows.withColumn("partner", programme.partner_or_home(F.col("partner")))
+    return programme.with_programme_class(defaulted).drop("suffix")
 
 
 @query

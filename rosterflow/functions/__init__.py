@@ -11,7 +11,7 @@ from rosterflow.functions.courses import (
     short_name_parts,
 )
 from rosterflow.functions.documents import doc_label, doc_number
-from rosterflow.functions.ids import INVALID_IDS, is_invalid_id, normalise_id, pad_id, roster_id
+from rosterflow.functions.ids import INVALID_IDS, is_invalid_id, is_invalid_padded, normalise_id, pad_id, roster_id
 from rosterflow.functions.text import clean_text, strip_decimal, title_case, trim_all
 from rosterflow.functions.times import active_since, parse_activity
 
@@ -25,6 +25,7 @@ __all__ = [
     "doc_label",
     "doc_number",
     "is_invalid_id",
+    "is_invalid_padded",
     "legacy_course_id",
     "legacy_number",
     "normalise_id",

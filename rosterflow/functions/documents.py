@@ -21,5 +21,4 @@ def doc_number(c: Column) -> Column:
 
 def doc_label(doc_type: Column, doc_no: Column) -> Column:
     """``TYPE. number``; the number alone without a type; empty without a number."""
-    number = doc_number(doc_no)
-    return F.when(number.isNull(), F.lit("")).otherwise(F.concat_ws(". ", doc_type, number))
+    return F.when(doc_no.isNull(), F.lit("")).otherwise(F.concat_ws(". ", doc_type, doc_number(doc_no)))

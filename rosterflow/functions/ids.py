@@ -1,4 +1,8 @@
-"""Person identifiers."""
+"""Person identifiers.
+
+The expressions avoid CASE where they can: branches hide repeated terms from the code
+generator, which otherwise computes each of them once.
+"""
 
 from __future__ import annotations
 
@@ -11,18 +15,14 @@ ID_WIDTH = 9
 
 # Identifiers that stand for "no identifier".
 INVALID_IDS = ("000000nan", "nan", "", "0", "-", "000000000", "none")
-PADDED_DASH = "-00000000"
 
 
 def pad_id(c: Column) -> Column:
     """Zero-pad to nine characters after a leading sign; longer ids are kept whole."""
     c = c.cast("string")
-    signed = F.concat(F.left(c, F.lit(1)), F.lpad(F.substr(c, F.lit(2)), ID_WIDTH - 1, "0"))
-    return (
-        F.when(F.length(c) >= ID_WIDTH, c)
-        .when(c.rlike("^[+-]"), signed)
-        .otherwise(F.lpad(c, ID_WIDTH, "0"))
-    )
+    sign = F.left(c, F.lit(1)).isin("+", "-").cast("int")
+    zeros = F.repeat(F.lit("0"), F.lit(ID_WIDTH) - F.length(c))
+    return F.concat(F.left(c, sign), zeros, F.substr(c, sign + 1))
 
 
 def roster_id(c: Column) -> Column:
@@ -33,13 +33,21 @@ def roster_id(c: Column) -> Column:
 def normalise_id(c: Column) -> Column:
     """Teacher, coordinator and directory form: trimmed, lower case, padded; none -> ''."""
     text = F.lower(clean_text(c))
-    return F.when(text.isin("", "nan", "none"), F.lit("")).otherwise(pad_id(strip_decimal(text)))
+    padded = pad_id(strip_decimal(text))
+    named = (~text.isin("", "nan", "none")).cast("int")
+    return F.left(padded, F.length(padded) * named)
 
 
 def is_invalid_id(c: Column) -> Column:
-    """True when the id, as given or once normalised, stands for "no identifier".
+    """True when the id stands for "no identifier", before or after padding.
 
-    Both forms are tested because padding hides a lone dash.
+    Padding is applied to both sides of the comparison, so a raw and a padded form of
+    the same value are judged alike.
     """
-    text = F.lower(clean_text(c))
-    return strip_decimal(text).isin(*INVALID_IDS) | normalise_id(c).isin(*INVALID_IDS, PADDED_DASH)
+    return is_invalid_padded(pad_id(strip_decimal(clean_text(c))))
+
+
+def is_invalid_padded(c: Column) -> Column:
+    """The same test for an id that is padded or normalised already."""
+    padded = {i.zfill(ID_WIDTH) for i in INVALID_IDS}
+    return F.lower(F.coalesce(c, F.lit(""))).isin("", *sorted(padded))

@@ -113,24 +113,22 @@ def explode_steps(rows: DataFrame, steps: Column, phase: int, repeat_id: bool =
 
 
 def student_commands(rows: DataFrame, process: Process, rules: Rules = DEFAULT_RULES) -> DataFrame:
-    """Commands of the matched student rows that have no ``skip_reason``."""
-    eligible = with_doc_label(person_columns(rows.where(F.col("skip_reason").isNull())))
-    return explode_steps(eligible, student_steps(process, rules), PEOPLE_PHASE)
+    """Commands of eligible student rows."""
+    return explode_steps(with_doc_label(person_columns(rows)), student_steps(process, rules), PEOPLE_PHASE)
 
 
 def legacy_commands(
     rows: DataFrame, class_code: Column, rules: Rules = DEFAULT_RULES, repeat_id: bool = True
 ) -> DataFrame:
     """Commands of the oldest policy, with the programme class chosen by hand."""
-    classed = with_doc_label(person_columns(rows)).withColumn("_class", rules.legacy_class(class_code))
-    classed = classed.withColumns({"role": F.col("_class.role"), "org_unit": F.col("_class.org_unit")})
+    role, unit = rules.legacy_class(class_code)
+    classed = with_doc_label(person_columns(rows)).withColumns({"role": role, "org_unit": unit})
     return explode_steps(classed, legacy_steps(rules), PEOPLE_PHASE, repeat_id)
 
 
 def teacher_commands(rows: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
-    """Commands of the matched teacher rows that have no ``skip_reason``."""
-    eligible = rows.where(F.col("skip_reason").isNull())
-    return explode_steps(with_doc_label(person_columns(eligible)), teacher_steps(rules), PEOPLE_PHASE)
+    """Commands of valid teacher rows."""
+    return explode_steps(with_doc_label(person_columns(rows)), teacher_steps(rules), PEOPLE_PHASE)
 
 
 def coordinator_commands(resolved: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:

@@ -12,7 +12,8 @@ def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
     """Keep the first row per key in the given order.
 
     The rank filter makes Spark keep one row per key in every map task before the
-    shuffle, so a hot key never arrives whole in one task.
+    shuffle, so a hot key never arrives whole in one task. Put the key with most values
+    first: rows are sorted by its prefix, and the other columns only break ties.
     """
     window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")

@@ -18,6 +18,7 @@ from rosterflow.functions import (
     doc_label,
     normalise_id,
     parse_activity,
+    programme_suffix,
     roster_id,
     strip_decimal,
     title_case,
@@ -29,7 +30,8 @@ from rosterflow.schemas import COURSE_COLUMNS, LINEAGE, STUDENT_ORDER, TEACHER_O
 
 def student_keys(students: DataFrame, since: dt.date | None = None) -> DataFrame:
     """Student roster with clean keys, active since the date."""
-    return _keys(students, "student_id", roster_id(F.col("student_id")), since)
+    keyed = _keys(students, "student_id", roster_id(F.col("student_id")), since)
+    return keyed.withColumn("partner", trim_all(F.col("partner")))
 
 
 def teacher_keys(teachers: DataFrame, since: dt.date | None = None) -> DataFrame:
@@ -64,7 +66,6 @@ def clean_students(students: DataFrame, since: dt.date | None = None) -> DataFra
     rows = person_columns(student_keys(students, since))
     return rows.withColumns(
         {
-            "partner": trim_all(F.col("partner")),
             "doc_no": strip_decimal(F.col("doc_no")),
             **{c: F.col(c).cast("string") for c in ("enrol_code", "status", "paid")},
         }
@@ -79,12 +80,12 @@ def clean_teachers(teachers: DataFrame, since: dt.date | None = None) -> DataFra
 
 def dedupe_students(students: DataFrame) -> DataFrame:
     """First row per (term, section, person), whatever its status or crosslist."""
-    return first_rows(students, ["term", "section", "student_id"], STUDENT_ORDER)
+    return first_rows(students, ["student_id", "section", "term"], STUDENT_ORDER)
 
 
 def dedupe_teachers(teachers: DataFrame) -> DataFrame:
     """First row per (term, section, person)."""
-    return first_rows(teachers, ["term", "section", "teacher_id"], TEACHER_ORDER)
+    return first_rows(teachers, ["teacher_id", "section", "term"], TEACHER_ORDER)
 
 
 def distinct_courses(courses: DataFrame) -> DataFrame:
@@ -106,6 +107,8 @@ def duplicate_courses(courses: DataFrame) -> DataFrame:
 def match_courses(courses: DataFrame, roster: DataFrame, cut: bool) -> DataFrame:
     """Roster rows of each listed course, joined on (term, crosslist).
 
+    Adds ``short_name``, ``nrc`` and the programme ``suffix`` of the course.
+
     ``cut`` drops the version tail of the course term, as the student job does. No
     broadcast is forced: a course list under the size limit is broadcast, a larger one
     is merge-joined with hot crosslists split at run time.
@@ -116,6 +119,7 @@ def match_courses(courses: DataFrame, roster: DataFrame, cut: bool) -> DataFrame
         "nrc",
         (cut_term(term) if cut else term).alias("term"),
         F.col("nrc").alias("crosslist"),
+        programme_suffix(term).alias("suffix"),
     )
     return roster.join(keyed, ["term", "crosslist"])
 

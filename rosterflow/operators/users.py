@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterflow.functions import clean_text, is_invalid_id, normalise_id, roster_id, strip_decimal
+from rosterflow.functions import clean_text, is_invalid_padded, normalise_id, roster_id, strip_decimal
 from rosterflow.operators.first import first_rows
 from rosterflow.schemas import LINEAGE, USER_COLUMNS
 
@@ -30,7 +30,7 @@ def clean_users(users: DataFrame) -> DataFrame:
 def user_ids(users: DataFrame) -> DataFrame:
     """Distinct padded ids, the lean form of the directory that the student job needs."""
     ids = users.select(roster_id(F.col("user_name")).alias("user_id"))
-    return ids.where(~is_invalid_id(F.col("user_id"))).distinct()
+    return ids.where(~is_invalid_padded(F.col("user_id"))).distinct()
 
 
 def with_known_flag(rows: DataFrame, ids: DataFrame) -> DataFrame:

@@ -7,10 +7,15 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rosterflow.functions import is_invalid_id
+from rosterflow.functions import is_invalid_padded
 from rosterflow.operators import commands as cmd
 from rosterflow.operators.centres import resolve_coordinators
-from rosterflow.operators.programme import skip_reason, with_programme_class
+from rosterflow.operators.programme import (
+    eligible,
+    partner_or_home,
+    skip_reason,
+    with_programme_class,
+)
 from rosterflow.operators.roster import (
     dedupe_students,
     dedupe_teachers,
@@ -33,17 +38,19 @@ def matched_students(
     """First roster row per person and section, matched with courses and classified."""
     roster = dedupe_students(student_keys(students, since))
     rows = match_courses(courses, roster, cut=True).withColumnRenamed("student_id", "user_id")
-    return with_programme_class(rows, rules).withColumn("skip_reason", skip_reason(process, rules))
+    partner = partner_or_home(F.col("partner"), rules)
+    classed = with_programme_class(rows.withColumn("partner", partner), rules)
+    return classed.withColumn("skip_reason", skip_reason(process, rules))
 
 
 def commands_of_students(
     rows: DataFrame, users: DataFrame, process: Process = Process.ENROL, rules: Rules = DEFAULT_RULES
 ) -> DataFrame:
     """Commands of matched rows. Skipped rows leave before the directory is joined."""
-    eligible = rows.where(F.col("skip_reason").isNull())
+    kept = rows.where(eligible(process, rules))
     if process in (Process.DROP, Process.CLEAN_UP):
-        return cmd.student_commands(eligible, process, rules)
-    return cmd.student_commands(with_known_flag(eligible, user_ids(users)), process, rules)
+        return cmd.student_commands(kept, process, rules)
+    return cmd.student_commands(with_known_flag(kept, user_ids(users)), process, rules)
 
 
 def student_commands(
@@ -71,7 +78,7 @@ def legacy_student_commands(
     """The oldest policy: all five commands for each enrolled row, no directory."""
     roster = dedupe_students(student_keys(students, since))
     rows = match_courses(courses, roster, cut=True).withColumnRenamed("student_id", "user_id")
-    valid = rows.where(~is_invalid_id(F.col("user_id")))
+    valid = rows.where(~is_invalid_padded(F.col("user_id")))
     return cmd.legacy_commands(valid, class_code, rules, repeat_id)
 
 
@@ -81,7 +88,7 @@ def matched_teachers(
     """First roster row per teacher and section, matched with courses."""
     roster = dedupe_teachers(teacher_keys(teachers, since))
     rows = match_courses(courses, roster, cut=False).withColumnRenamed("teacher_id", "user_id")
-    return rows.withColumn("skip_reason", F.when(is_invalid_id(F.col("user_id")), "invalid_id"))
+    return rows.withColumn("skip_reason", F.when(is_invalid_padded(F.col("user_id")), "invalid_id"))
 
 
 def commands_of_teachers(rows: DataFrame, users: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
@@ -89,8 +96,8 @@ def commands_of_teachers(rows: DataFrame, users: DataFrame, rules: Rules = DEFAU
     directory = clean_users(users).select(
         F.col("user_name").alias("user_id"), F.col("org_role_id"), F.lit(True).alias("_known")
     )
-    eligible = rows.where(F.col("skip_reason").isNull()).join(directory, "user_id", "left")
-    flagged = eligible.withColumns(
+    valid = rows.where(~is_invalid_padded(F.col("user_id")))
+    flagged = valid.join(directory, "user_id", "left").withColumns(
         {
             "is_known": F.coalesce(F.col("_known"), F.lit(False)),
             "former_unit": rules.former_unit(F.col("org_role_id")),

@@ -63,38 +63,35 @@ class Rules:
     cancelled: str = "Cancelado"
     removed: str = "Eliminado"
 
-    def programme_class(self, suffix: Column, partner: Column) -> Column:
-        """``struct(role, org_unit)``, null for an unknown suffix."""
-        cases = [
+    def programme_class(self, suffix: Column, partner: Column) -> tuple[Column, Column]:
+        """Role and organisation unit, null for an unknown suffix."""
+        special = [
             ((suffix == s) & (partner == p), value) for (s, p), value in self.partner_classes.items()
-        ] + [(suffix == s, value) for s, value in self.programme_classes.items()]
-        return _lookup(cases)
+        ]
+        return _lookup(special + [(suffix.isin(keys), v) for v, keys in _by_value(self.programme_classes)])
 
-    def legacy_class(self, code: Column) -> Column:
-        """``struct(role, org_unit)`` of a class chosen by hand; unknown codes have no unit."""
-        found = _lookup([(code == c, value) for c, value in self.legacy_classes.items()])
-        return F.coalesce(found, _pair((self.course_role, "")))
+    def legacy_class(self, code: Column) -> tuple[Column, Column]:
+        """Role and unit of a class chosen by hand; unknown codes have no unit."""
+        role, unit = _lookup([(code.isin(keys), v) for v, keys in _by_value(self.legacy_classes)])
+        return F.coalesce(role, F.lit(self.course_role)), F.coalesce(unit, F.lit(""))
 
     def former_unit(self, role_id: Column) -> Column:
         """Unit that a known user leaves on becoming a teacher, or null."""
-        units = sorted(set(self.former_role_units.values()))
-        picked = [
-            F.when(role_id.isin([r for r, u in self.former_role_units.items() if u == unit]), F.lit(unit))
-            for unit in units
-        ]
-        return F.coalesce(*picked)
+        units = [F.when(role_id.isin(keys), F.lit(u)) for u, keys in _by_value(self.former_role_units)]
+        return F.coalesce(*units)
 
 
-def _pair(value: tuple[str, str]) -> Column:
-    return F.struct(F.lit(value[0]).alias("role"), F.lit(value[1]).alias("org_unit"))
+def _by_value(table: Mapping) -> list[tuple]:
+    """The table turned round: each value once with all its keys."""
+    turned: dict = {}
+    for key, value in table.items():
+        turned.setdefault(value, []).append(key)
+    return list(turned.items())
 
 
-def _lookup(cases: list[tuple[Column, tuple[str, str]]]) -> Column:
-    (first, value), *rest = cases
-    found = F.when(first, _pair(value))
-    for condition, value in rest:
-        found = found.when(condition, _pair(value))
-    return found
+def _lookup(cases: list[tuple[Column, tuple[str, str]]]) -> tuple[Column, Column]:
+    """Role and unit of the first condition that holds."""
+    return tuple(F.coalesce(*[F.when(c, F.lit(value[i])) for c, value in cases]) for i in (0, 1))
 
 
 DEFAULT_RULES = Rules()
