@@ -1,7 +1,7 @@
 """Person identifiers.
 
-The expressions avoid CASE where they can: branches hide repeated terms from the code
-generator, which otherwise computes each of them once.
+The expressions name their input as few times as they can and avoid CASE: repeated
+terms bloat the generated code, and branches keep it from computing them once.
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from rosterflow.functions.text import clean_text, strip_decimal
+from rosterflow.functions.text import WHITE_SPACE, strip_decimal
 
 ID_WIDTH = 9
 
@@ -20,9 +20,9 @@ INVALID_IDS = ("000000nan", "nan", "", "0", "-", "000000000", "none")
 def pad_id(c: Column) -> Column:
     """Zero-pad to nine characters after a leading sign; longer ids are kept whole."""
     c = c.cast("string")
-    sign = F.left(c, F.lit(1)).isin("+", "-").cast("int")
     zeros = F.repeat(F.lit("0"), F.lit(ID_WIDTH) - F.length(c))
-    return F.concat(F.left(c, sign), zeros, F.substr(c, sign + 1))
+    after_sign = F.left(c, F.lit(1)).isin("+", "-").cast("int") + 1
+    return F.overlay(c, zeros, after_sign, F.lit(0))
 
 
 def roster_id(c: Column) -> Column:
@@ -30,12 +30,19 @@ def roster_id(c: Column) -> Column:
     return pad_id(strip_decimal(c))
 
 
+def _lower_text(c: Column) -> Column:
+    return F.lower(F.btrim(F.coalesce(c.cast("string"), F.lit("")), F.lit(WHITE_SPACE)))
+
+
+def _padded(text: Column) -> Column:
+    return pad_id(F.regexp_replace(text, r"\.0$", ""))
+
+
 def normalise_id(c: Column) -> Column:
     """Teacher, coordinator and directory form: trimmed, lower case, padded; none -> ''."""
-    text = F.lower(clean_text(c))
-    padded = pad_id(strip_decimal(text))
-    named = (~text.isin("", "nan", "none")).cast("int")
-    return F.left(padded, F.length(padded) * named)
+    text = _lower_text(c)
+    times = (~text.isin("", "nan", "none")).cast("int")
+    return F.repeat(_padded(text), times)
 
 
 def is_invalid_id(c: Column) -> Column:
@@ -44,7 +51,7 @@ def is_invalid_id(c: Column) -> Column:
     Padding is applied to both sides of the comparison, so a raw and a padded form of
     the same value are judged alike.
     """
-    return is_invalid_padded(pad_id(strip_decimal(clean_text(c))))
+    return is_invalid_padded(_padded(_lower_text(c)))
 
 
 def is_invalid_padded(c: Column) -> Column:

@@ -39,7 +39,10 @@ def normalise_headers(df: DataFrame) -> DataFrame:
 
 
 def list_extracts(spark: SparkSession, path: str, file_format: str) -> list[str]:
-    """Files of the format below a path, without the lock files of open editors."""
+    """Files of the format below a path, without the lock files of open editors.
+
+    Files of no byte are not listed: they hold neither a header nor a row.
+    """
     listing = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", f"*.{file_format}")
