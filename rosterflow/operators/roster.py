@@ -25,7 +25,7 @@ from rosterflow.functions import (
     trim_all,
 )
 from rosterflow.operators.first import first_rows
-from rosterflow.schemas import COURSE_COLUMNS, LINEAGE, STUDENT_ORDER, TEACHER_ORDER
+from rosterflow.schemas import LINEAGE, STUDENT_ORDER, TEACHER_ORDER
 
 
 def student_keys(students: DataFrame, since: dt.date | None = None) -> DataFrame:
@@ -78,9 +78,13 @@ def clean_teachers(teachers: DataFrame, since: dt.date | None = None) -> DataFra
     return rows.withColumn("doc_no", strip_decimal(F.col("doc_no")))
 
 
-def dedupe_students(students: DataFrame) -> DataFrame:
-    """First row per (term, section, person), whatever its status or crosslist."""
-    return first_rows(students, ["student_id", "section", "term"], STUDENT_ORDER)
+def dedupe_students(students: DataFrame, by_term: bool = True) -> DataFrame:
+    """First row per (term, section, person), whatever its status or crosslist.
+
+    The oldest form of the job left the term out of the key.
+    """
+    keys = ["student_id", "section", "term"] if by_term else ["student_id", "section"]
+    return first_rows(students, keys, STUDENT_ORDER if by_term else (*STUDENT_ORDER, "term"))
 
 
 def dedupe_teachers(teachers: DataFrame) -> DataFrame:
@@ -127,18 +131,3 @@ def match_courses(courses: DataFrame, roster: DataFrame, cut: bool) -> DataFrame
 def with_doc_label(rows: DataFrame) -> DataFrame:
     return rows.withColumn("doc_label", doc_label(F.col("doc_type"), F.col("doc_no")))
 
-
-__all__ = [
-    "COURSE_COLUMNS",
-    "clean_students",
-    "clean_teachers",
-    "dedupe_students",
-    "dedupe_teachers",
-    "distinct_courses",
-    "duplicate_courses",
-    "match_courses",
-    "person_columns",
-    "student_keys",
-    "teacher_keys",
-    "with_doc_label",
-]

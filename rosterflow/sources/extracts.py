@@ -86,7 +86,7 @@ def _plain(path: str) -> str:
     return path.replace("file:///", "file:/")
 
 
-def _row_number(file_format: str) -> Column:
+def row_number(file_format: str) -> Column:
     """A number that grows with the position of the row in its file.
 
     Parquet knows the position. Elsewhere it is the start of the block plus the place
@@ -115,7 +115,7 @@ def _read_group(
     df = reader.format(file_format).load(files)
     lineage = [
         F.col("_metadata.file_path").alias("src_file"),
-        _row_number(file_format).alias("row_no"),
+        row_number(file_format).alias("row_no"),
     ]
     key = normalise_header if legacy_headers else str
     source = {key(h): h for h in header}

@@ -103,3 +103,42 @@ def test_since_keeps_the_day_itself_and_drops_unknown_times(spark):
 def test_former_unit(spark):
     units = evaluate(spark, DEFAULT_RULES.former_unit, ["150", "143", "138", "137", "136", "135", "110", "", None])
     assert units == ["CVTE", "CVLA", "CVPR", "CVFC", "CVFA", "CVFA", None, None, None]
+
+
+def test_render_line(spark):
+    from rosterflow.operators.commands import has_comma, render_line
+    from rosterflow.schemas import COMMAND_COLUMNS
+
+    def command(**values):
+        return tuple(values.get(c, "") for c in COMMAND_COLUMNS)
+
+    person = {"user_id": "1", "doc_label": "CC. 1", "first_name": "A, B", "last_name": 'C "D"', "active": "1", "email": "e"}
+    rows = spark.createDataFrame(
+        [
+            command(verb="CREATE", role="r", **person),
+            command(verb="UPDATE", **person),
+            command(verb="ENROLL", user_id="1", role="r", org_unit="u"),
+            command(verb="UNENROLL", user_id="1", org_unit="u"),
+        ],
+        ", ".join(f"{c} string" for c in COMMAND_COLUMNS),
+    )
+    lines = {r.verb: r for r in rows.select("verb", render_line().alias("n"), render_line("csv").alias("q"), has_comma().alias("c")).collect()}
+    assert lines["CREATE"].n == 'CREATE,1,CC. 1,A, B,C "D",,r,1,e'
+    assert lines["CREATE"].q == 'CREATE,1,CC. 1,"A, B","C ""D""",,r,1,e'
+    assert lines["UPDATE"].n == 'UPDATE,1,CC. 1,A, B,C "D",,1,e'
+    assert lines["ENROLL"].n == lines["ENROLL"].q == "ENROLL,1,,r,u"
+    assert lines["UNENROLL"].n == "UNENROLL,1,,u"
+    assert [lines[v].c for v in ("CREATE", "ENROLL")] == [True, False]
+    with pytest.raises(ValueError):
+        render_line("tab")
+
+
+def test_legacy_dedupe_key(spark):
+    from rosterflow.operators.roster import dedupe_students
+
+    columns = "src_file,row_no,crosslist,activity_ts,status,paid,doc_no,email,term,section,student_id"
+    rows = spark.sql(
+        f"SELECT * FROM VALUES ('f',1L,'x','a','s','y','1','e','202610','s1','p'),('f',2L,'x','a','s','y','1','e','202641','s1','p') t({columns})"
+    )
+    assert dedupe_students(rows).count() == 2
+    assert [r.row_no for r in dedupe_students(rows, by_term=False).collect()] == [1]

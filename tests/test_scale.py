@@ -140,8 +140,9 @@ def test_terms_prune_a_landed_roster(spark, sf_dir, tmp_path):
     pruned = sources.prune_to_terms(landed, sources.listed_terms(courses, cut=True))
     users = fx.users(spark, sf_dir)
     plan = plan_of(student_commands(courses, pruned, users))
-    assert "PartitionFilters: [term" in plan
-    scan = plan[plan.index("PartitionFilters: [term") :].split("\n")[0]
+    scan = next(line for line in plan.split("\n") if "landed" in line)
+    filters = scan[scan.index("PartitionFilters") : scan.index("PushedFilters")]
+    assert "term" in filters and "202610" in filters
     read = scan[scan.index("ReadSchema") :]
     assert "enrol_code" not in read and "program_code" not in read
     whole = student_commands(courses, landed, users)
