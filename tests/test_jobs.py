@@ -42,7 +42,7 @@ STUDENT_HEADER = [*schemas.STUDENT_HEADERS, "COD_PROGRAMA_ESTUDIANTE"]
 
 @pytest.fixture()
 def inputs(tmp_path):
-    courses = write_csv(tmp_path / "shortnames.csv", ["Nombre", "NRC", "Periodo"], [course(i) for i in range(1, N + 1)])
+    courses = write_csv(tmp_path / "courses.csv", ["Nombre", "NRC", "Periodo"], [course(i) for i in range(1, N + 1)])
     teachers = [
         [real_term(i), 30000 + i, 20000 + i, f"{500 + i}.0", "CC", 70000000 + i, f"t{i}@example.org", "ana maría", "gil"]
         + ["2026-01-02"]
@@ -180,7 +180,7 @@ def test_registry_job(spark, tmp_path):
     links = ["Enlace curso"] + [f"https://lms.example.org/home/{i}" for i in (10001, 10002, 10003, 10002, 10004, 10005)]
     links += ['""', "https://lms.example.org/none"]
     (tmp_path / "links.csv").write_text("\n".join(links) + "\n", encoding="utf8")
-    registry = write_csv(tmp_path / "shortnames.csv", ["Nombre", "NRC", "Periodo"], [("1-1-202610-1", "1", "202610")])
+    registry = write_csv(tmp_path / "courses.csv", ["Nombre", "NRC", "Periodo"], [("1-1-202610-1", "1", "202610")])
     catalogue = spark.createDataFrame(
         [("10001", "1-1-202610-1"), ("10002", "2-2-202641V1-2"), ("10003", "malformed"), ("10004", "2-2-202641V1-2")],
         "course_id string, short_name string",
