@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from rosterflow.llm import lm_score
+from rosterflow.llm import lm_score, quality_rules
 
 QUERIES = {
     "op2_stupid_backoff": lm_score.op2_stupid_backoff,
+    "op6_repetition_rules": quality_rules.op6_repetition_rules,
 }
 ORACLES = {
     "op2_stupid_backoff": lm_score.SQL,
+    "op6_repetition_rules": quality_rules.SQL,
 }
