@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from rosterflow.llm import lm_score, quality_rules
+from rosterflow.llm import decontaminate, lm_score, quality_rules
 
 QUERIES = {
     "op2_stupid_backoff": lm_score.op2_stupid_backoff,
     "op6_repetition_rules": quality_rules.op6_repetition_rules,
+    "op9_benchmark_windows": decontaminate.op9_benchmark_windows,
 }
 ORACLES = {
     "op2_stupid_backoff": lm_score.SQL,
     "op6_repetition_rules": quality_rules.SQL,
+    "op9_benchmark_windows": decontaminate.SQL,
 }
