@@ -29,11 +29,11 @@ MIN_COUNT = 2
 _OUT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("log10_counts", pa.float64()), ("n_single", pa.int64()), ("n_backoffs", pa.int64())])
 
 
-def _grams(table: pa.Table, lo: int, hi: int, order: int):
+def _grams(plan: tally.Plan, table: pa.Table, lo: int, hi: int, order: int):
     raw, at = words.utf8(table["text"].slice(lo, hi - lo))
     found = words.split(words.folded(raw), at, words.NOT_SPACE)
     hashes = found.hashes()
-    return found, [(tally.short(words.ngrams(hashes, n)), words.within(found.text, n)) for n in range(1, order + 1)]
+    return found, [(plan.short(words.ngrams(hashes, n)), words.within(found.text, n)) for n in range(1, order + 1)]
 
 
 def _sums(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -50,13 +50,14 @@ def score_documents(docs: DataFrame, order: int = ORDER, backoff: float = BACKOF
     0 words and the score null. Repeated rows count, and are scored, each time. Other
     columns are ignored; an empty table gives no rows.
     """
-    n = tally.blocks_for(docs, block_chars)
-    blocks = tally.into_blocks(docs.select(F.col("doc_id").cast("long"), "text"), n)
+    docs = docs.select(F.col("doc_id").cast("long"), "text")
+    plan = tally.Plan.of(docs, block_chars)
+    blocks = plan.blocks(docs)
 
     def keys(table: pa.Table):
         hashes, counts = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
         for lo, hi in words.runs(words.utf8(table["text"])[1]):
-            _, grams = _grams(table, lo, hi, order)
+            _, grams = _grams(plan, table, lo, hi, order)
             h, c = np.unique(np.concatenate([g[whole] for g, whole in grams]), return_counts=True)
             hashes.append(h)
             counts.append(c)
@@ -65,10 +66,9 @@ def score_documents(docs: DataFrame, order: int = ORDER, backoff: float = BACKOF
     def score(table: pa.Table, totals: tally.Totals) -> pa.Table:
         out = []
         for lo, hi in words.runs(words.utf8(table["text"])[1]):
-            found, grams = _grams(table, lo, hi, order)
+            found, grams = _grams(plan, table, lo, hi, order)
             size = len(found.text)
-            # a single word that got no total occurs once in the corpus: here
-            below = np.maximum(totals.of(grams[0][0]), 1)
+            below = totals.of(grams[0][0])
             value = np.log10(below)
             steps = np.zeros(size, np.int64)
             single = np.ones(size, bool)
@@ -95,8 +95,8 @@ def score_documents(docs: DataFrame, order: int = ORDER, backoff: float = BACKOF
             out.append(pa.table([table["doc_id"].slice(lo, hi - lo), pa.array(n_own), pa.array(sums), pa.array(singles), pa.array(back)], schema=_OUT))
         return pa.concat_tables(out) if out else _OUT.empty_table()
 
-    answers = tally.totals(blocks, keys, n, MIN_COUNT)
-    parts = work.written(tally.with_totals(blocks, answers, score, n, "doc_id long, n_words long, log10_counts double, n_single long, n_backoffs long"), "lm-scores")
+    answers = tally.totals(blocks, keys, plan)
+    parts = work.written(tally.with_totals(blocks, answers, keys, score, "doc_id long, n_words long, log10_counts double, n_single long, n_backoffs long"), "lm-scores")
     # the words scored by their own count alone lack the division by the corpus size
     n_words = F.lit(float(parts.agg(F.sum("n_words")).first()[0] or 1))
     score_of = F.when(F.col("n_words") > 0, F.col("log10_counts") - F.col("n_single") * F.log10(n_words))

@@ -4,132 +4,136 @@ A row for every n-gram would move several times the bytes of the texts. Instead
 documents are dealt into *blocks* of a few megabytes. A block sends each *bucket* (a
 range of the hash space) one row with the block's distinct hashes of that range, sorted
 and packed as gaps, and their counts in the block. A bucket adds up the counts of all
-blocks and answers each block with the totals of those of its hashes that reach a
-minimum. Blocks then meet their documents again.
+blocks and answers each block with the totals in the order of its request. Blocks then
+meet their documents again, make the same keys and know the count of each.
 
 * A key that a third of all documents hold reaches its bucket once per block.
 * Blocks and buckets are of bounded size; their numbers follow the measured input. A row
   holds at least one hash, so there are never more rows than n-grams.
 * A block is fixed by its rows alone, so a repeated task gives the same answer.
+* Hashes are as wide as the input needs: two keys fall together with a chance of about
+  one in 2 ** SPARE_BITS, at any size up to 64 bits.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Hashes keep 56 bits, so that gaps take about five bytes.
-BITS = 56
+#: Bits of a hash beyond those that number the characters of the input.
+SPARE_BITS = 19
 BLOCK_CHARS = 8_000_000
-PACKED = "block int, bucket int, width int, gaps binary, size int, counts binary"
-_SCHEMA = pa.schema(
-    [("block", pa.int32()), ("bucket", pa.int32()), ("width", pa.int32()), ("gaps", pa.binary()), ("size", pa.int32()), ("counts", pa.binary())]
-)
-Keys = Callable[[pa.Table], tuple[np.ndarray, np.ndarray]]
+PACKED = "block int, bucket int, width int, gaps binary, counts binary, large binary"
+_SCHEMA = pa.schema([("block", pa.int32()), ("bucket", pa.int32()), ("width", pa.int32()), ("gaps", pa.binary()), ("counts", pa.binary()), ("large", pa.binary())])
+_LARGE = 255
+
+
+@dataclass(frozen=True)
+class Plan:
+    """How many blocks, and buckets, and how wide hashes are."""
+
+    n: int
+    bits: int
 
+    @classmethod
+    def of(cls, docs: DataFrame, chars: int = BLOCK_CHARS) -> Plan:
+        total = docs.agg(F.sum(F.length("text"))).first()[0] or 1
+        return cls(max(1, math.ceil(total / chars)), min(64, total.bit_length() + SPARE_BITS))
 
-def short(hashes: np.ndarray) -> np.ndarray:
-    return hashes >> np.uint64(64 - BITS)
+    @property
+    def step(self) -> int:
+        return 2**self.bits // self.n + 1
 
+    def short(self, hashes: np.ndarray) -> np.ndarray:
+        return hashes >> np.uint64(64 - self.bits)
 
-def blocks_for(docs: DataFrame, chars: int = BLOCK_CHARS) -> int:
-    """How many blocks all texts need, from their measured length."""
-    total = docs.agg(F.sum(F.length("text"))).first()[0] or 0
-    return max(1, math.ceil(total / chars))
+    def bucket(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes // np.uint64(self.step)).astype(np.int64)
+
+    def blocks(self, docs: DataFrame) -> DataFrame:
+        """``docs`` with ``block``, shuffled by it. The text counts too, so rows without an id spread."""
+        return docs.withColumn("block", F.expr(f"cast(pmod(xxhash64(doc_id, text), {self.n}) as int)")).repartition(self.n, "block")
+
+
+Keys = Callable[[pa.Table], tuple[np.ndarray, np.ndarray]]
 
 
-def into_blocks(docs: DataFrame, n: int) -> DataFrame:
-    """``docs`` with ``block``, shuffled by it. The text counts too, so rows without an id spread."""
-    return docs.withColumn("block", F.expr(f"cast(pmod(xxhash64(doc_id, text), {n}) as int)")).repartition(n, "block")
+def _pack_counts(counts: np.ndarray) -> tuple[bytes, bytes]:
+    return np.minimum(counts, _LARGE).astype(np.uint8).tobytes(), counts[counts >= _LARGE].astype("<i8").tobytes()
 
 
-def _pack(block: int, bucket: np.ndarray, hashes: np.ndarray, counts: np.ndarray, step: int) -> pa.Table:
-    """One row per bucket; ``hashes`` are sorted and distinct."""
-    cuts = np.flatnonzero(np.diff(bucket, prepend=-1)) if len(bucket) else np.empty(0, int)
-    rows: dict[str, list] = {name: [] for name in _SCHEMA.names}
-    for i, j in zip(cuts, [*cuts[1:], len(hashes)]):
-        gaps = np.diff(hashes[i:j], prepend=np.uint64(int(bucket[i]) * step))
-        width = max(1, (int(gaps.max()).bit_length() + 7) // 8)
-        size = 1 if (most := int(counts[i:j].max())) < 256 else 4 if most < 2**32 else 8
-        rows["block"].append(block)
-        rows["bucket"].append(int(bucket[i]))
-        rows["width"].append(width)
-        rows["gaps"].append(gaps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes())
-        rows["size"].append(size)
-        rows["counts"].append(counts[i:j].astype(f"<u{size}").tobytes())
-    return pa.table(rows, _SCHEMA)
+def _unpack_counts(small: bytes, large: bytes) -> np.ndarray:
+    counts = np.frombuffer(small, np.uint8).astype(np.int64)
+    counts[counts == _LARGE] = np.frombuffer(large, "<i8")
+    return counts
 
 
-def _unpack(table: pa.Table, step: int) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
-    out = []
-    for r in table.to_pylist():
-        small = np.frombuffer(r["gaps"], np.uint8).reshape(-1, r["width"])
-        wide = np.zeros((len(small), 8), np.uint8)
-        wide[:, : r["width"]] = small
-        hashes = np.cumsum(wide.view("<u8").ravel()) + np.uint64(r["bucket"] * step)
-        out.append((r["block"], r["bucket"], hashes, np.frombuffer(r["counts"], f"<u{r['size']}").astype(np.int64)))
-    return out
+def _cuts(bucket: np.ndarray) -> list[tuple[int, int]]:
+    at = np.flatnonzero(np.diff(bucket, prepend=-1))
+    return list(zip(at, [*at[1:], len(bucket)]))
 
 
-def totals(blocks: DataFrame, keys: Keys, n_buckets: int, least: int) -> DataFrame:
-    """For each block, packed (hash, count over all blocks) of its hashes with a count of ``least`` or more.
+def totals(blocks: DataFrame, keys: Keys, plan: Plan) -> DataFrame:
+    """For each block and bucket, the counts over all blocks of the block's keys there.
 
-    ``keys`` gives a block's distinct hashes, sorted, of ``BITS`` bits, and their counts.
+    ``keys`` gives a block's distinct hashes, sorted, made ``plan.short``, and their counts.
     """
-    step = 2**BITS // n_buckets + 1
 
     def ask(table: pa.Table) -> pa.Table:
         hashes, counts = keys(table)
-        return _pack(table["block"][0].as_py(), (hashes // np.uint64(step)).astype(np.int64), hashes, counts, step)
+        bucket, block = plan.bucket(hashes), table["block"][0].as_py()
+        rows: dict[str, list] = {name: [] for name in _SCHEMA.names}
+        for i, j in _cuts(bucket):
+            gaps = np.diff(hashes[i:j], prepend=np.uint64(int(bucket[i]) * plan.step))
+            width = max(1, (int(gaps.max()).bit_length() + 7) // 8)
+            packed = gaps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+            for name, value in zip(_SCHEMA.names, (block, int(bucket[i]), width, packed, *_pack_counts(counts[i:j]))):
+                rows[name].append(value)
+        return pa.table(rows, _SCHEMA)
 
     def answer(table: pa.Table) -> pa.Table:
-        asked = _unpack(table, step)
-        hashes = np.concatenate([h for *_, h, _ in asked])
+        asked = []
+        for row in table.select(["bucket", "width", "gaps"]).to_pylist():
+            small = np.frombuffer(row["gaps"], np.uint8).reshape(-1, row["width"])
+            wide = np.zeros((len(small), 8), np.uint8)
+            wide[:, : row["width"]] = small
+            asked.append(np.cumsum(wide.view("<u8").ravel()) + np.uint64(row["bucket"] * plan.step))
+        hashes = np.concatenate(asked)
         order = np.argsort(hashes, kind="stable")
         ranked = hashes[order]
         first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
-        sums = np.add.reduceat(np.concatenate([c for *_, c in asked])[order], first)
+        own = np.concatenate([_unpack_counts(c, b) for c, b in zip(table["counts"].to_pylist(), table["large"].to_pylist())])
         total = np.empty(len(hashes), np.int64)
-        total[order] = np.repeat(sums, np.diff(first, append=len(hashes)))
-        out, at = [], 0
-        for block, bucket, h, _ in asked:
-            t = total[at : at + len(h)]
-            at += len(h)
-            kept = t >= least
-            if kept.any():
-                out.append(_pack(block, np.full(int(kept.sum()), bucket), h[kept], t[kept], step))
-        return pa.concat_tables(out) if out else _SCHEMA.empty_table()
+        total[order] = np.repeat(np.add.reduceat(own[order], first), np.diff(first, append=len(hashes)))
+        packed = [_pack_counts(t) for t in np.split(total, np.cumsum([len(h) for h in asked])[:-1])]
+        return pa.table([table["block"], table["bucket"], pa.array([c for c, _ in packed], pa.binary()), pa.array([b for _, b in packed], pa.binary())], ["block", "bucket", "counts", "large"])
 
-    asked = blocks.groupBy("block").applyInArrow(ask, PACKED)
-    return asked.groupBy("bucket").applyInArrow(answer, PACKED)
+    return blocks.groupBy("block").applyInArrow(ask, PACKED).groupBy("bucket").applyInArrow(answer, "block int, bucket int, counts binary, large binary")
 
 
 class Totals:
-    """The answers to one block as one sorted table."""
+    """A block's keys and their counts over all blocks."""
 
-    def __init__(self, table: pa.Table, n_buckets: int):
-        parts = sorted(_unpack(table, 2**BITS // n_buckets + 1), key=lambda r: r[1])
-        self.hashes = np.concatenate([np.empty(0, np.uint64), *(h for *_, h, _ in parts)])
-        self.counts = np.concatenate([np.empty(0, np.int64), *(c for *_, c in parts)])
+    def __init__(self, hashes: np.ndarray, told: pa.Table):
+        rows = sorted(told.select(["bucket", "counts", "large"]).to_pylist(), key=lambda r: r["bucket"])
+        self.hashes = hashes
+        self.counts = np.concatenate([np.empty(0, np.int64), *(_unpack_counts(r["counts"], r["large"]) for r in rows)])
 
     def of(self, hashes: np.ndarray) -> np.ndarray:
-        """The counts of ``hashes``, 0 where none was sent."""
-        if not len(self.hashes):
-            return np.zeros(len(hashes), np.int64)
-        at = np.searchsorted(self.hashes, hashes)
-        at[at == len(self.hashes)] = 0
-        return np.where(self.hashes[at] == hashes, self.counts[at], 0)
+        """The counts of keys of this block."""
+        return self.counts[np.searchsorted(self.hashes, hashes)]
 
 
-def with_totals(blocks: DataFrame, answers: DataFrame, then: Callable[[pa.Table, Totals], pa.Table], n_buckets: int, schema: str) -> DataFrame:
-    """``then(documents, totals)`` for each block. ``blocks`` is the frame that ``totals`` got."""
+def with_totals(blocks: DataFrame, answers: DataFrame, keys: Keys, then: Callable[[pa.Table, Totals], pa.Table], schema: str) -> DataFrame:
+    """``then(documents, totals)`` for each block; ``blocks`` and ``keys`` as ``totals`` got them."""
 
     def both(docs: pa.Table, told: pa.Table) -> pa.Table:
-        return then(docs, Totals(told, n_buckets))
+        return then(docs, Totals(keys(docs)[0], told))
 
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(both, schema)
