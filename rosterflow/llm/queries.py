@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from rosterflow.llm import decontaminate, lm_score, quality_rules
+from rosterflow.llm import decontaminate, jaccard_join, lm_score, quality_rules
 
 QUERIES = {
     "op2_stupid_backoff": lm_score.op2_stupid_backoff,
+    "op5_shingle_components": jaccard_join.op5_shingle_components,
     "op6_repetition_rules": quality_rules.op6_repetition_rules,
     "op9_benchmark_windows": decontaminate.op9_benchmark_windows,
 }
 ORACLES = {
     "op2_stupid_backoff": lm_score.SQL,
+    "op5_shingle_components": jaccard_join.SQL,
     "op6_repetition_rules": quality_rules.SQL,
     "op9_benchmark_windows": decontaminate.SQL,
 }
