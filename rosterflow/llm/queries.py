@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from rosterflow.llm import decontaminate, jaccard_join, lm_score, quality_rules
+from rosterflow.llm import decontaminate, jaccard_join, language_id, lm_score, quality_rules
 
 QUERIES = {
+    "op1_cross_parsing": language_id.op1_cross_parsing,
     "op2_stupid_backoff": lm_score.op2_stupid_backoff,
     "op5_shingle_components": jaccard_join.op5_shingle_components,
     "op6_repetition_rules": quality_rules.op6_repetition_rules,
