@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rosterflow.llm import decontaminate, jaccard_join, language_id, lm_score, quality_rules
+from rosterflow.llm import decontaminate, jaccard_join, language_id, lm_score, pieces, quality_rules
 
 QUERIES = {
     "op1_cross_parsing": language_id.op1_cross_parsing,
@@ -10,6 +10,7 @@ QUERIES = {
     "op5_shingle_components": jaccard_join.op5_shingle_components,
     "op6_repetition_rules": quality_rules.op6_repetition_rules,
     "op9_benchmark_windows": decontaminate.op9_benchmark_windows,
+    "op10_sentencepiece": pieces.op10_sentencepiece,
 }
 ORACLES = {
     "op2_stupid_backoff": lm_score.SQL,
