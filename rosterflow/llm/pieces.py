@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosterflow.llm import words
+from rosterflow.llm.segments import SegmentCache
 
 MARKER = 0xFF
 _SIGN = "▁"
@@ -31,8 +32,6 @@ _SIGN = "▁"
 UNKNOWN_PENALTY = 10.0
 #: Segments longer than this are segmented one at a time.
 WIDE = 96
-#: Distinct segments whose encodings a task keeps.
-KEPT = 400_000
 RUN_BYTES = 2_000_000
 _UNKNOWN_TEXT = " ⁇ ".encode()
 
@@ -240,7 +239,7 @@ class Encoder:
 
     def __init__(self, model: Model):
         self.model = model
-        self._forget()
+        self._cache = SegmentCache(model.segment)
         surface = [_UNKNOWN_TEXT if k == 0 and not s else s for k, s in enumerate(model.surface)]
         self._size = np.array([len(s) for s in surface])
         self._bytes = np.frombuffer(b"".join(surface), np.uint8).copy()
@@ -249,22 +248,6 @@ class Encoder:
         self._bytes[(self._bytes == MARKER) & ~np.repeat(is_byte, self._size)] = 0x20
         self._start = np.cumsum(self._size) - self._size
 
-    def _forget(self) -> None:
-        self._slot: dict[bytes, int] = {}
-        self._ids, self._first = np.empty(0, np.int32), np.zeros(1, np.int64)
-
-    def _slots(self, parts: list[bytes]) -> np.ndarray:
-        new = [p for p in parts if p not in self._slot]
-        if new:
-            if len(self._slot) + len(new) > KEPT:
-                self._forget()
-                new = parts
-            found = self.model.segment(new)
-            self._slot.update(zip(new, range(len(self._slot), len(self._slot) + len(new))))
-            self._first = np.concatenate([self._first, self._first[-1] + np.cumsum([len(f) for f in found])])
-            self._ids = np.concatenate([self._ids, *found])
-        return np.fromiter((self._slot[p] for p in parts), np.int64, len(parts))
-
     def encode(self, raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, and the offsets of each text's."""
         full = np.flatnonzero(np.diff(at))
@@ -275,14 +258,7 @@ class Encoder:
         lead[moved[:-1][full]] = True
         start = np.flatnonzero(lead)
         end = np.append(start[1:], len(marked))
-        if not len(start):
-            return np.empty(0, np.int32), np.zeros(len(at), np.int64)
-        _, one, which = np.unique(words.range_hashes(marked, start, end), return_index=True, return_inverse=True)
-        whole = marked.tobytes()
-        slot = self._slots([whole[i:j] for i, j in zip(start[one].tolist(), end[one].tolist())])[which]
-        size = self._first[slot + 1] - self._first[slot]
-        total = np.concatenate([[0], np.cumsum(size)])
-        ids = self._ids[np.arange(total[-1]) + np.repeat(self._first[slot] - total[:-1], size)]
+        ids, total = self._cache(marked, start, end)
         return ids, total[np.searchsorted(start, moved)]
 
     def decode(self, ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
