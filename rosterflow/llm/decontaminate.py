@@ -34,7 +34,6 @@ SEGMENT_WINDOWS = 4096
 #: A document is contaminated if one word in so many is hit.
 ONE_IN = 20
 
-_TABLE_BITS = 22
 SPANS = "doc_id long, text_key long, copies long, n_words long, begins array<long>, ends array<long>, items array<string>"
 
 
@@ -94,23 +93,6 @@ class Windows:
                 yield s, some, grams[self.start[some][:, None] + np.arange(size - s + 1)]
 
 
-class Lookup:
-    """Places of hashes in a sorted table, by a bit table that turns most others away."""
-
-    def __init__(self, keys: np.ndarray):
-        self.keys = keys
-        self.some = np.zeros(1 << _TABLE_BITS, bool)
-        self.some[(keys >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)] = True
-
-    def __call__(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Which hashes are in the table, and where."""
-        which = np.flatnonzero(self.some[(hashes >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)])
-        at = np.searchsorted(self.keys, hashes[which])
-        at[at == len(self.keys)] = 0
-        hit = self.keys[at] == hashes[which] if len(self.keys) else np.zeros(len(which), bool)
-        return which[hit], at[hit]
-
-
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, words.Words]]:
     for batch in batches:
         raw, at = words.utf8(batch["text"])
@@ -123,7 +105,7 @@ def _rarity(spark: SparkSession, docs: DataFrame, keys: np.ndarray, lengths: lis
     shared = spark.sparkContext.broadcast(keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find = Lookup(shared.value)
+        find = words.Lookup(shared.value)
         counts = np.zeros(len(find.keys), np.int64)
         for _, found in _texts(batches):
             hashes = found.hashes()
@@ -158,7 +140,7 @@ def _join(spark: SparkSession, docs: DataFrame, windows: Windows, prefixes, leng
         win, (keys, order, place) = shared.value
         uniq, begin = np.unique(keys, return_index=True)
         count = np.diff(begin, append=len(keys))
-        find = Lookup(uniq)
+        find = words.Lookup(uniq)
         for batch, found in _texts(batches):
             hashes = found.hashes()
             at, key = [], []

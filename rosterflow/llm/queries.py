@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from rosterflow.llm import decontaminate, jaccard_join, language_id, lm_score, pieces, quality_rules, token_ids
+from rosterflow.llm import cotraining, decontaminate, jaccard_join, language_id, lm_score, pieces, quality_rules, token_ids, toxicity
 
 QUERIES = {
     "op1_cross_parsing": language_id.op1_cross_parsing,
     "op2_stupid_backoff": lm_score.op2_stupid_backoff,
+    "op4_co_training": cotraining.op4_co_training,
     "op5_shingle_components": jaccard_join.op5_shingle_components,
     "op6_repetition_rules": quality_rules.op6_repetition_rules,
     "op7_simple8b": token_ids.op7_simple8b,
+    "op8_classifier_chain": toxicity.op8_classifier_chain,
     "op9_benchmark_windows": decontaminate.op9_benchmark_windows,
     "op10_sentencepiece": pieces.op10_sentencepiece,
 }

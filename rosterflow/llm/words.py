@@ -15,6 +15,8 @@ import pyarrow as pa
 
 #: Texts are worked on in runs of about so many bytes, so memory does not follow the batch size.
 RUN_BYTES = 400_000
+#: Bits of the first look at a hash in ``Lookup``.
+TABLE_BITS = 22
 
 # Odd multipliers of a 64-bit mixer; any odd numbers of this size would do.
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -107,17 +109,26 @@ def split(raw: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> Words:
     return Words(raw, start, end, text, first)
 
 
-def range_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A hash of the bytes of each range.
+class RangeHashes:
+    """Hashes of byte ranges of one buffer.
 
     A running sum of byte values times powers gives a range as one difference, which the
     inverse power moves to place 0.
     """
-    up, down = _power_tables(len(raw))
-    total = np.zeros(len(raw) + 1, np.uint64)
-    np.multiply(_BYTE[raw], up[: len(raw)], out=total[1:])
-    np.cumsum(total, out=total)
-    return mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
+
+    def __init__(self, raw: np.ndarray):
+        up, self._down = _power_tables(len(raw))
+        self._total = np.zeros(len(raw) + 1, np.uint64)
+        np.multiply(_BYTE[raw], up[: len(raw)], out=self._total[1:])
+        np.cumsum(self._total, out=self._total)
+
+    def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mix((self._total[end] - self._total[start]) * self._down[start] + (end - start).astype(np.uint64))
+
+
+def range_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A hash of the bytes of each range."""
+    return RangeHashes(raw)(start, end)
 
 
 _TABLES: list[np.ndarray] = []
@@ -151,6 +162,23 @@ def within(text: np.ndarray, n: int) -> np.ndarray:
     return text[: len(text) - n + 1] == text[n - 1 :]
 
 
+class Lookup:
+    """Places of hashes in a sorted table, by a bit table that turns most others away."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys
+        self.some = np.zeros(1 << TABLE_BITS, bool)
+        self.some[(keys >> np.uint64(64 - TABLE_BITS)).astype(np.int64)] = True
+
+    def __call__(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which hashes are in the table, and where."""
+        which = np.flatnonzero(self.some[(hashes >> np.uint64(64 - TABLE_BITS)).astype(np.int64)])
+        at = np.searchsorted(self.keys, hashes[which])
+        at[at == len(self.keys)] = 0
+        hit = self.keys[at] == hashes[which] if len(self.keys) else np.zeros(len(which), bool)
+        return which[hit], at[hit]
+
+
 def shingles(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct (text, hash of ``n`` words), by text and hash; fewer words, if any, are one shingle."""
     hashes = words.hashes()
