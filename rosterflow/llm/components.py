@@ -23,7 +23,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     # greatest() skips nulls, so an edge with one end is a loop
     links = work.written(pairs.where(F.col("u") != F.col("v")).distinct(), "component-links")
     before = None
-    while True:
+    while not links.isEmpty():
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         larger = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()

@@ -41,8 +41,8 @@ PERCENT = 75
 RARE = 20
 K = 2
 PIVOT_ROUNDS = 2
-_SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("set_id", pa.binary()), ("shared", pa.binary()), ("n_rare", pa.int32())])
-_SETS_DDL = "doc_id long, n long, set_id binary, shared binary, n_rare int"
+_SETS = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("n", pa.int64()), ("set_id", pa.binary()), ("shared", pa.binary()), ("n_rare", pa.int32())])
+_SETS_DDL = "doc_id long, text_key long, n long, set_id binary, shared binary, n_rare int"
 
 
 def _least_overlap(n: int) -> int:
@@ -74,9 +74,9 @@ def _block_sets(table: pa.Table, n_words: int):
 
 
 def shingle_sets(docs: DataFrame, n_words: int, block_chars: int) -> DataFrame:
-    """``doc_id, n, set_id, shared, n_rare`` of each row. ``shared``: the shingles that other
+    """``doc_id, text_key, n, set_id, shared, n_rare`` of each row. ``shared``: the shingles that other
     sets hold too, rare ones first, for sets that can have a partner (one row of a block)."""
-    docs = docs.select(F.col("doc_id").cast("long"), "text")
+    docs = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_key"))
     plan = tally.Plan.of(docs, block_chars)
     blocks = plan.blocks(docs)
 
@@ -100,7 +100,7 @@ def shingle_sets(docs: DataFrame, n_words: int, block_chars: int) -> DataFrame:
             shared[k] = h[order].astype("<u8").tobytes()
             n_rare[k] = int((c[order] <= RARE).sum())
         set_ids = pa.array([i.tobytes() if s else None for i, s in zip(ids, size)], pa.binary())
-        return pa.table([table["doc_id"].combine_chunks(), pa.array(size, pa.int64()), set_ids, pa.array(shared, pa.binary()), pa.array(n_rare, pa.int32())], schema=_SETS)
+        return pa.table([table["doc_id"], table["text_key"], pa.array(size, pa.int64()), set_ids, pa.array(shared, pa.binary()), pa.array(n_rare, pa.int32())], schema=_SETS)
 
     return tally.with_totals(blocks, tally.totals(blocks, keys, plan), keys, then, _SETS_DDL)
 
@@ -180,13 +180,15 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, n_words: int = SHINGLE_WORDS, block_chars: int = tally.BLOCK_CHARS) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of each row of ``docs (doc_id, text)``.
+    """``doc_id, text_key, n_shingles, component_id, stays`` of each row of ``docs (doc_id, text)``.
 
     Words are `[^\\x20\\x09-\\x0D]+` of the text with A-Z lower-cased. A text with fewer than
     ``n_words`` words has its whole sequence as one shingle. Without words (null, empty or
     blank) the set is empty and links with nothing. Repeated rows and equal texts are in one
     component. A row without an id is in its component, whose id is the least that is
-    there (null if none is). Other columns are ignored; an empty table gives no rows.
+    there (null if none is). ``stays`` is true for the least id of a component (then the
+    least ``text_key``, a hash of the text) and for empty sets; exactly repeated rows share
+    it. Other columns are ignored; an empty table gives no rows.
     """
     rows = work.written(shingle_sets(docs, n_words, block_chars), "shingle-sets")
     held = rows.where("shared is not null").groupBy("set_id").agg(*(F.first(c).alias(c) for c in ("n", "shared", "n_rare")))
@@ -219,8 +221,12 @@ def near_duplicates(docs: DataFrame, n_words: int = SHINGLE_WORDS, block_chars:
     else:
         whole = sets.join(component, "node").select("set_id", F.col("component").cast("string").cast("binary").alias("whole"))
         named = named.join(whole, "set_id", "left").withColumn("class", F.coalesce("whole", "set_id"))
-    least = named.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("least"))
-    return named.join(least, "class", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key")
+    least = named.where("class is not null").groupBy("class").agg(F.min(order).alias("least"))
+    named = named.join(least, "class", "left").withColumn("full", F.col("n") > 0)
+    component_id = F.when(F.col("full"), F.col("least.doc_id")).otherwise(F.col("doc_id"))
+    stays = ~F.col("full") | (order == F.col("least"))
+    return named.select("doc_id", "text_key", F.col("n").alias("n_shingles"), component_id.alias("component_id"), stays.alias("stays"))
 
 
 def _across(index: DataFrame) -> DataFrame:
@@ -233,7 +239,7 @@ def _across(index: DataFrame) -> DataFrame:
 
 
 def op5_shingle_components(spark, sf_dir: str) -> DataFrame:
-    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "n_shingles", "component_id")
 
 
 SQL = rf"""

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from rosterflow.llm import cotraining, decontaminate, jaccard_join, language_id, lm_score, pieces, quality_rules, token_ids, toxicity
+from rosterflow.llm import cotraining, decontaminate, jaccard_join, language_id, lm_score, pieces, quality_rules, token_ids, toxicity, url_filter
 
 QUERIES = {
     "op1_cross_parsing": language_id.op1_cross_parsing,
     "op2_stupid_backoff": lm_score.op2_stupid_backoff,
+    "op3_redirect_equivalence": url_filter.op3_redirect_equivalence,
     "op4_co_training": cotraining.op4_co_training,
     "op5_shingle_components": jaccard_join.op5_shingle_components,
     "op6_repetition_rules": quality_rules.op6_repetition_rules,
@@ -17,6 +18,7 @@ QUERIES = {
 }
 ORACLES = {
     "op2_stupid_backoff": lm_score.SQL,
+    "op3_redirect_equivalence": url_filter.SQL,
     "op5_shingle_components": jaccard_join.SQL,
     "op6_repetition_rules": quality_rules.SQL,
     "op9_benchmark_windows": decontaminate.SQL,
