@@ -158,9 +158,9 @@ def learn(docs: DataFrame, labels: DataFrame, seeds: dict[str, tuple[str, ...]]
     named = rows.select("doc_id", "text", "y", *(t.cast("int").alias(f"y_{k}") for k, t in enumerate(told)))
     schema = "doc_id long, text string, y int, " + "".join(f"y_{k} int, " for k in range(len(told))) + "x binary"
     table = named.mapInArrow(run, schema).drop("text").orderBy("doc_id", "x").toArrow()
-    x = np.frombuffer(b"".join(table["x"].to_pylist()), np.float32).reshape(table.num_rows, -1)
+    x = np.frombuffer(b"".join(table["x"].to_pylist()), np.float32).reshape(table.num_rows, 2 * len(features))
     y = np.column_stack([table[f"y_{k}"].to_numpy() for k in range(len(told))] + [table["y"].to_numpy()]).astype(float)
-    return Chain.fit([*seeds, LAST], features, x if len(features) else np.zeros((table.num_rows, 0), np.float32), y)
+    return Chain.fit([*seeds, LAST], features, x, y)
 
 
 def score(docs: DataFrame, chain: Chain) -> DataFrame:
