@@ -41,8 +41,8 @@ PERCENT = 75
 RARE = 20
 K = 2
 PIVOT_ROUNDS = 2
-_SETS = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("n", pa.int64()), ("set_id", pa.binary()), ("shared", pa.binary()), ("n_rare", pa.int32())])
-_SETS_DDL = "doc_id long, text_key long, n long, set_id binary, shared binary, n_rare int"
+_SETS = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("n", pa.int64()), ("set_id", pa.binary()), ("shared", pa.binary()), ("n_rare", pa.int32()), ("weight", pa.float64())])
+_SETS_DDL = "doc_id long, text_key long, n long, set_id binary, shared binary, n_rare int, weight double"
 
 
 def _least_overlap(n: int) -> int:
@@ -74,8 +74,9 @@ def _block_sets(table: pa.Table, n_words: int):
 
 
 def shingle_sets(docs: DataFrame, n_words: int, block_chars: int) -> DataFrame:
-    """``doc_id, text_key, n, set_id, shared, n_rare`` of each row. ``shared``: the shingles that other
-    sets hold too, rare ones first, for sets that can have a partner (one row of a block)."""
+    """``doc_id, text_key, n, set_id, shared, n_rare, weight`` of each row. ``shared``: the shingles that other
+    sets hold too, rare ones first, for sets that can have a partner (one row of a block). ``weight``: how many sets hold a
+    shingle of this one, on average."""
     docs = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_key"))
     plan = tally.Plan.of(docs, block_chars)
     blocks = plan.blocks(docs)
@@ -99,8 +100,9 @@ def shingle_sets(docs: DataFrame, n_words: int, block_chars: int) -> DataFrame:
             order = order[c[order] > 1]
             shared[k] = h[order].astype("<u8").tobytes()
             n_rare[k] = int((c[order] <= RARE).sum())
+        weight = np.bincount(text, held, len(head)) / np.maximum(size, 1)
         set_ids = pa.array([i.tobytes() if s else None for i, s in zip(ids, size)], pa.binary())
-        return pa.table([table["doc_id"], table["text_key"], pa.array(size, pa.int64()), set_ids, pa.array(shared, pa.binary()), pa.array(n_rare, pa.int32())], schema=_SETS)
+        return pa.table([table["doc_id"], table["text_key"], pa.array(size, pa.int64()), set_ids, pa.array(shared, pa.binary()), pa.array(n_rare, pa.int32()), pa.array(weight)], schema=_SETS)
 
     return tally.with_totals(blocks, tally.totals(blocks, keys, plan), keys, then, _SETS_DDL)
 
@@ -114,17 +116,23 @@ def _band(n: int) -> int:
     return (max(n, 1).bit_length() - 1) // 2
 
 
-def prefix_keys(n: int, shared: np.ndarray, n_rare: int, k: int = K) -> np.ndarray:
-    """The index keys of a set of ``n`` shingles, of which other sets hold ``shared`` (in order)."""
+def prefix_keys(n: int, shared: np.ndarray, n_rare: int, k: int = K) -> tuple[np.ndarray, np.ndarray]:
+    """The index keys of a set of ``n`` shingles, of which other sets hold ``shared`` (in order).
+
+    The level of a key is how many shingles of the set must be missing from a partner before
+    the prefix has to hold that key. Two sets that overlap in ``o`` shingles share a key whose
+    level is at most ``n - o + 1`` on both sides.
+    """
     needed = len(shared) - _least_overlap(n) + 1
     if needed < 1:
-        return np.empty(0, np.uint64)
-    out = []
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    keys, levels = [], []
     # partners have up to n / 0.75 shingles; both sets of a pair use the classes of one band
     for band in {_band(n), _band(100 * n // PERCENT)}:
         seed = np.uint64(band * 8)
         rare = shared[: min(n_rare, needed)]
-        out.append(words.mix(rare + seed))
+        keys.append(words.mix(rare + seed))
+        levels.append(np.arange(len(rare)))
         rest = needed - len(rare)
         if not rest:
             continue
@@ -138,27 +146,41 @@ def prefix_keys(n: int, shared: np.ndarray, n_rare: int, k: int = K) -> np.ndarr
         reach = np.cumsum(counts)
         last = int(np.searchsorted(reach, rest)) if len(reach) and reach[-1] >= rest else len(often)
         if last == len(often):
-            out.append(words.mix(shared[:needed] + seed + np.uint64(2)))
+            keys.append(words.mix(shared[:needed] + seed + np.uint64(2)))
+            levels.append(np.arange(needed))
         prefix = order[order <= last]
         for group in np.split(prefix, np.flatnonzero(np.diff(kind[prefix])) + 1):
             if len(group) >= k:
-                chosen = words.mix(often[group])[_choices(len(group), k)]
-                out.append(words.mix(chosen.sum(axis=1) + seed + np.uint64(1)))
-    return np.unique(np.concatenate(out))
+                chosen = group[_choices(len(group), k)]
+                keys.append(words.mix(words.mix(often[chosen]).sum(axis=1) + seed + np.uint64(1)))
+                at = chosen.max(axis=1)
+                levels.append(len(rare) + reach[at] - counts[at])
+    key, level = np.concatenate(keys), np.concatenate(levels) + 1 + n - len(shared)
+    order = np.lexsort((level, key))
+    key, level = key[order], level[order]
+    new = np.ones(len(key), bool)
+    new[1:] = key[1:] != key[:-1]
+    return key[new], level[new]
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names, waiting, size = ["node", "key", "n", "level"], [], 0
     for batch in batches:
-        nodes, keys = [], []
-        for node, n, shared, n_rare in zip(*(batch[c].to_pylist() for c in ("node", "n", "shared", "n_rare"))):
-            own = prefix_keys(n, np.frombuffer(shared, "<u8"), n_rare)
-            nodes.append(np.full(len(own), node))
-            keys.append(own.view(np.int64))
-            if sum(map(len, keys)) > 200_000:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(nodes)), pa.array(np.concatenate(keys))], ["node", "key"])
-                nodes, keys = [], []
-        if nodes:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(nodes)), pa.array(np.concatenate(keys))], ["node", "key"])
+        for node, n, packed, n_rare in zip(*(batch[c].to_pylist() for c in ("node", "n", "shared", "n_rare"))):
+            own, level = prefix_keys(n, np.frombuffer(packed, "<u8"), n_rare)
+            waiting.append((np.full(len(own), node), own.view(np.int64), np.full(len(own), n), level))
+            size += len(own)
+            if size > 200_000:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*waiting)], names)
+                waiting, size = [], 0
+    if waiting:
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*waiting)], names)
+
+
+def _can_link(n_a: str, level_a: str, n_b: str, level_b: str) -> Column:
+    """Whether two sets that share such a key may link: their least overlap puts the key into both prefixes."""
+    least = F.ceil(F.lit(PERCENT) * (F.col(n_a) + F.col(n_b)) / (100 + PERCENT))
+    return (F.col(level_a) <= F.col(n_a) - least + 1) & (F.col(level_b) <= F.col(n_b) - least + 1)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -191,29 +213,29 @@ def near_duplicates(docs: DataFrame, n_words: int = SHINGLE_WORDS, block_chars:
     it. Other columns are ignored; an empty table gives no rows.
     """
     rows = work.written(shingle_sets(docs, n_words, block_chars), "shingle-sets")
-    held = rows.where("shared is not null").groupBy("set_id").agg(*(F.first(c).alias(c) for c in ("n", "shared", "n_rare")))
-    sets = work.written(held.withColumn("node", F.monotonically_increasing_id()), "set-classes")
-    index = work.written(sets.select("node", "n", "shared", "n_rare").mapInArrow(_keys, "node long, key long"), "prefix-index")
+    held = rows.where("shared is not null").groupBy("set_id").agg(*(F.first(c).alias(c) for c in ("n", "shared", "n_rare", "weight")))
+    # numbered from the most typical set on: the text that others are copies of comes before them
+    sets = work.written(held.orderBy(F.desc("weight"), "set_id").withColumn("node", F.monotonically_increasing_id()), "set-classes")
+    index = work.written(sets.select("node", "n", "shared", "n_rare").mapInArrow(_keys, "node long, key long, n long, level long"), "prefix-index")
 
-    label: Column = F.col("node")
     links, component = None, None
     for turn in range(PIVOT_ROUNDS + 1):
+        label: Column = F.col("node")
         if component is not None:
-            index = index.join(component, "node", "left")
-            label = F.coalesce("component", "node")
-        index = index.select("node", "key", label.alias("label"))
-        alive = index.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min_by("node", F.xxhash64("node", F.lit(turn))).alias("pivot")).where("lo < hi")
-        index = work.written(index.join(alive.select("key", "pivot"), "key"), "prefix-index")
+            index, label = index.join(component, "node", "left"), F.coalesce("component", "node")
+        index = index.select("node", "key", "n", "level", label.alias("label"))
+        alive = index.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min_by("label", "node").alias("main")).where("lo < hi")
+        index = work.written(index.join(alive.select("key", "main"), "key"), "prefix-index")
         if index.isEmpty():
             break
         if turn < PIVOT_ROUNDS:
-            pairs = index.where("node != pivot").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
+            pairs = _with_pivot(index, turn)
         else:
             pairs = _across(index)
         found = work.written(_verified(pairs.distinct(), sets), "links")
         links = found if links is None else links.unionByName(found)
         component = work.written(connected_components(links), "components")
-        index = index.select("node", "key")
+        index = index.select("node", "key", "n", "level")
 
     named = rows
     if component is None:
@@ -229,13 +251,29 @@ def near_duplicates(docs: DataFrame, n_words: int = SHINGLE_WORDS, block_chars:
     return named.select("doc_id", "text_key", F.col("n").alias("n_shingles"), component_id.alias("component_id"), stays.alias("stays"))
 
 
+def _with_pivot(index: DataFrame, turn: int) -> DataFrame:
+    """Pairs of each key's pivot and its sets of other components: first the most typical set, later one outside its component."""
+    named = F.struct("node", "label", "n", "level")
+    if turn:
+        pivot = index.where("label <> main").groupBy("key").agg(F.min_by(named, F.xxhash64("node", F.lit(turn))).alias("pivot"))
+    else:
+        pivot = index.groupBy("key").agg(F.min(named).alias("pivot"))
+    pivot = pivot.select("key", *(F.col(f"pivot.{c}").alias(f"{c}_x") for c in ("node", "label", "n", "level")))
+    return _pairs(index, pivot)
+
+
 def _across(index: DataFrame) -> DataFrame:
     """Pairs of sets that share a key but not a component: the sets outside a key's largest component with all others."""
-    sizes = index.groupBy("key", "label").agg(F.count("*").alias("n"))
-    largest = sizes.groupBy("key").agg(F.max_by("label", "n").alias("main"))
-    outside = index.join(largest, "key").where("label != main").select("key", F.col("node").alias("x"), F.col("label").alias("x_label"))
-    pairs = index.join(outside, "key").where(F.col("label") != F.col("x_label"))
-    return pairs.select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b"))
+    index = index.select("node", "key", "n", "level", "label")
+    sizes = index.groupBy("key", "label").agg(F.count("*").alias("size"))
+    largest = sizes.groupBy("key").agg(F.max_by("label", "size").alias("main"))
+    outside = index.join(largest, "key").where("label != main").select("key", *(F.col(c).alias(f"{c}_x") for c in ("node", "label", "n", "level")))
+    return _pairs(index, outside)
+
+
+def _pairs(index: DataFrame, others: DataFrame) -> DataFrame:
+    pairs = index.join(others, "key").where((F.col("label") != F.col("label_x")) & _can_link("n", "level", "n_x", "level_x"))
+    return pairs.select(F.least("node", "node_x").alias("a"), F.greatest("node", "node_x").alias("b"))
 
 
 def op5_shingle_components(spark, sf_dir: str) -> DataFrame:
