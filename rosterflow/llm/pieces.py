@@ -239,7 +239,7 @@ class Encoder:
 
     def __init__(self, model: Model):
         self.model = model
-        self._cache = SegmentCache(model.segment)
+        self._cache = SegmentCache(self._new)
         surface = [_UNKNOWN_TEXT if k == 0 and not s else s for k, s in enumerate(model.surface)]
         self._size = np.array([len(s) for s in surface])
         self._bytes = np.frombuffer(b"".join(surface), np.uint8).copy()
@@ -248,6 +248,10 @@ class Encoder:
         self._bytes[(self._bytes == MARKER) & ~np.repeat(is_byte, self._size)] = 0x20
         self._start = np.cumsum(self._size) - self._size
 
+    def _new(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        found = self.model.segment(parts)
+        return np.concatenate(found), np.array([len(f) for f in found])
+
     def encode(self, raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, and the offsets of each text's."""
         full = np.flatnonzero(np.diff(at))

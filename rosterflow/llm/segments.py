@@ -9,11 +9,13 @@ import numpy as np
 from rosterflow.llm import words
 
 #: Distinct segments whose encodings a task keeps; beyond them it begins anew.
-KEPT = 800_000
+KEPT = 600_000
 
 
 class SegmentCache:
-    def __init__(self, encode: Callable[[list[bytes]], list[np.ndarray]], kept: int = KEPT):
+    """``encode`` gives the ids of all segments in a row, and how many each has."""
+
+    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], kept: int = KEPT):
         self._encode, self._kept = encode, kept
         self._forget()
 
@@ -27,10 +29,10 @@ class SegmentCache:
             if self._slot and len(self._slot) + len(new) > self._kept:
                 self._forget()
                 new = parts
-            found = self._encode(new)
+            ids, sizes = self._encode(new)
             self._slot.update(zip(new, range(len(self._slot), len(self._slot) + len(new))))
-            self._first = np.concatenate([self._first, self._first[-1] + np.cumsum([len(f) for f in found])])
-            self._ids = np.concatenate([self._ids, *found])
+            self._first = np.concatenate([self._first, self._first[-1] + np.cumsum(sizes)])
+            self._ids = np.concatenate([self._ids, ids])
         return np.fromiter((self._slot[p] for p in parts), np.int64, len(parts))
 
     def __call__(self, raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -15,6 +15,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -46,11 +47,16 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     limits = np.uint64(1) << np.array([b for _, b in SELECTORS], np.uint64)
     level = np.searchsorted(limits, ids, "right")  # the first selector that holds the id; 14 for an escape
     choice = np.where(level == ESCAPE, ESCAPE, len(SELECTORS) - 1)
-    place = np.arange(n)
+    small = np.arange(n)
     for s in range(len(SELECTORS) - 2, int(level.min()) - 1, -1):
-        bad = np.where(level > s, place, n + 60)  # an end short of ids is filled with zeros
-        reach = np.minimum.accumulate(bad[::-1])[::-1]
-        choice[reach >= place + SELECTORS[s][0]] = s
+        small = small[level[small] <= s]
+        # runs of ids that are small enough; an end short of ids is filled with zeros
+        last = np.flatnonzero(np.diff(small, append=n + 1) != 1)
+        if len(small) and small[-1] == n - 1:
+            last[-1] = len(small) - 1
+        run_end = np.repeat(small[last], np.diff(last, prepend=-1))
+        fits = (run_end - small + 1 >= SELECTORS[s][0]) | (run_end == n - 1)
+        choice[small[fits]] = s
     step = np.array([c for c, _ in SELECTORS] + [1])[choice].tolist()
     at, i = [], 0
     while i < n:
@@ -109,9 +115,13 @@ def from_block(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return unpack(np.frombuffer(data, "<u8", n_words, 40 + 8 * (n_docs + n_escapes)), escapes, n_ids), sizes
 
 
-def _plain(b: np.ndarray) -> np.ndarray:
-    """True for visible ASCII, which is no white space and ends any run of it."""
-    return (b > 0x20) & (b < 0x7F)
+#: Visible ASCII, which is no white space and ends any run of it; letters; signs but the apostrophe.
+_PLAIN = np.zeros(256, bool)
+_PLAIN[0x21:0x7F] = True
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+_SIGN = _PLAIN & ~_LETTER
+_SIGN[[*range(0x30, 0x3A), 0x27]] = False
 
 
 def boundaries(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -119,13 +129,14 @@ def boundaries(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
 
     The pattern joins a space to what follows and takes white space in runs, whose last
     character it leaves to a following word. A run begins after a visible character; its
-    last space, or a line end that is a run of its own, begins or ends a match.
+    last space, or a line end that is a run of its own, begins or ends a match. Letters
+    and signs are matched apart (but for an apostrophe).
     """
     n = len(raw)
     cut = np.zeros(n + 1, bool)
     starts = np.zeros(n + 1, bool)
     starts[at] = True
-    plain = _plain(raw)
+    plain = _PLAIN[raw]
     after_plain = np.zeros(n, bool)
     after_plain[1:] = plain[:-1]
     after_plain &= ~starts[:n]
@@ -136,10 +147,14 @@ def boundaries(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
     line = (raw == 0x0A) & after_plain
     cut[:n] |= line
     cut[1:] |= line & before_plain
+    cut[1:n] |= _LETTER[raw[:-1]] & _SIGN[raw[1:]]
     cut[at[:-1]] = at[:-1] < at[1:]
     return np.flatnonzero(cut[:n])
 
 
+_TOKENS: dict[str, Tokens] = {}
+
+
 class Tokens:
     """Ids of texts by a tokenizer of the tokenizers library."""
 
@@ -151,12 +166,21 @@ class Tokens:
         self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self._cache = SegmentCache(self._new)
 
-    def _new(self, parts: list[bytes]) -> list[np.ndarray]:
+    @classmethod
+    def shared(cls, model: str) -> Tokens:
+        """That of this process, which keeps its encodings from task to task."""
+        if model not in _TOKENS:
+            _TOKENS.clear()
+            _TOKENS[model] = cls(model)
+        return _TOKENS[model]
+
+    def _new(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         out = []
         for i in range(0, len(parts), 20_000):
             found = self._tokenizer.encode_batch_fast([p.decode() for p in parts[i : i + 20_000]], add_special_tokens=False)
-            out.extend(np.array(f.ids, np.int32) for f in found)
-        return out
+            out.extend(f.ids for f in found)
+        sizes = np.fromiter(map(len, out), np.int64, len(out))
+        return np.fromiter(chain.from_iterable(out), np.int32, int(sizes.sum())), sizes
 
     def __call__(self, raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, and the offsets between them."""
@@ -181,7 +205,7 @@ def write_token_shards(docs: DataFrame, tokenizer: str, path: str, end_id: int =
     tie = F.xxhash64("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, shard = Tokens(model.value), TaskContext.get().partitionId()
+        tokens, shard = Tokens.shared(model.value), TaskContext.get().partitionId()
         block, start, ids, sizes, doc_ids = 0, 0, [], [], []
 
         def close() -> pa.RecordBatch:
