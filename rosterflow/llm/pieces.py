@@ -14,12 +14,14 @@ numpy, a byte place at a time.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -96,6 +98,7 @@ class Model:
     byte_id: np.ndarray  # by byte
     unknown: float
     trie: DoubleArray = field(repr=False)
+    key: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     @classmethod
     def load(cls, path: str) -> Model:
@@ -234,9 +237,20 @@ class Model:
         return out
 
 
+_ENCODERS: dict[str, Encoder] = {}
+
+
 class Encoder:
     """Encodes and decodes texts, keeping the encodings of segments that it has met."""
 
+    @classmethod
+    def shared(cls, model: Broadcast[Model]) -> Encoder:
+        """That of this process for a broadcast model, which keeps its encodings from task to task."""
+        if model.value.key not in _ENCODERS:
+            _ENCODERS.clear()
+            _ENCODERS[model.value.key] = cls(model.value)
+        return _ENCODERS[model.value.key]
+
     def __init__(self, model: Model):
         self.model = model
         self._cache = SegmentCache(self._new)
@@ -296,7 +310,7 @@ def encode(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value)
+        encoder = Encoder.shared(shared)
         for batch in batches:
             raw, at = words.utf8(batch["text"])
             for i, j in words.runs(at, RUN_BYTES):
@@ -340,10 +354,30 @@ def tokenizer_path(name: str = "piece_bpe_32k.model") -> str:
 
 
 def encode_documents(docs: DataFrame, path: str) -> DataFrame:
-    """``doc_id, n_ids, ids, restored`` of each row: its pieces, and whether they decode to its text."""
+    """``doc_id, n_ids, ids, restored`` of each row: its pieces, and whether they decode to its text.
+
+    A null text has null ids, of which there are 0, and counts as restored.
+    """
     model = Model.load(path)
-    coded = decode(encode(docs.select("doc_id", "text"), model), model)
-    return coded.select("doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_ids"), "ids", F.col("decoded").eqNullSafe(F.col("text")).alias("restored"))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder.shared(shared)
+        for batch in batches:
+            raw, at = words.utf8(batch["text"])
+            for i, j in words.runs(at, RUN_BYTES):
+                own, begins = raw[at[i] : at[j]], at[i : j + 1] - at[i]
+                ids, first = encoder.encode(own, begins)
+                back, ends = encoder.decode(ids, first)
+                same = np.diff(ends) == np.diff(begins)
+                if not same.all() or not np.array_equal(back, own):
+                    same &= [np.array_equal(back[ends[k] : ends[k + 1]], own[begins[k] : begins[k + 1]]) for k in range(j - i)]
+                part = batch.slice(i, j - i)
+                lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(ids), mask=part["text"].is_null())
+                yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(np.diff(first), pa.int64()), lists, pa.array(same)], ["doc_id", "n_ids", "ids", "restored"])
+
+    doc_id = dict(docs.dtypes)["doc_id"]
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {doc_id}, n_ids long, ids array<int>, restored boolean")
 
 
 def op10_sentencepiece(spark, sf_dir: str) -> DataFrame:
