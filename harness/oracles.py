@@ -7,6 +7,7 @@ from harness.views import VIEWS_SQL
 # Scalar functions as SQL text.
 
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(133) || chr(160)"
+# What stands for no identifier.
 _INVALID = "'00000none', '000000nan', 'nan', '', '0', '-', '000000000', 'none'"
 
 
@@ -102,7 +103,7 @@ def _class(suffix: str, partner: str) -> tuple[str, str]:
 _ROLE, _UNIT = _class("right(term, 2)", "partner")
 
 _SHARED = f"""
-courses AS ({_first("fx_courses", "short_name", "nrc, term")}),
+courses AS (SELECT DISTINCT short_name, nrc, term FROM fx_courses),
 students AS (SELECT * REPLACE ({_roster_id("student_id")} AS student_id, {_strip("term")} AS term,
   {_strip("section")} AS section, {_strip("crosslist")} AS crosslist) FROM fx_students),
 teachers AS (SELECT * REPLACE ({_norm("teacher_id")} AS teacher_id, {_strip("term")} AS term,
@@ -118,7 +119,7 @@ student_rows AS (SELECT s.* REPLACE ({_PARTNER.replace("partner", "s.partner")}
   FROM student_firsts s JOIN courses c ON s.term = left(c.term, 6) AND s.crosslist = c.nrc),
 classed AS (SELECT student_id AS user_id, *, {_ROLE} AS role, {_UNIT} AS unit,
   student_id IN (SELECT user_id FROM lean_users) AS is_known FROM student_rows),
-reasoned AS (SELECT *, CASE WHEN {_invalid("user_id")} THEN 'invalid_id' WHEN status <> 'Inscrito' THEN 'status'
+reasoned AS (SELECT *, CASE WHEN {_invalid("user_id")} THEN 'invalid_id' WHEN coalesce(status, '') <> 'Inscrito' THEN 'status'
   WHEN partner NOT IN ('BS', 'AP') THEN 'partner' WHEN partner = 'AP' AND paid <> 'Y' THEN 'unpaid'
   WHEN role IS NULL THEN 'unknown_programme' END AS skip_reason FROM classed),
 teacher_rows AS (SELECT t.teacher_id AS user_id, t.*, c.short_name, c.nrc, u.user_name IS NOT NULL AS is_known,
@@ -203,6 +204,8 @@ def _where(steps: tuple, where: str) -> tuple:
     return tuple((*s, where) for s in steps)
 
 
+# The statuses that take a student out.
+_LEFT = "coalesce(status IN ('Cancelado', 'Eliminado'), false)"
 _VALID = f"NOT {_invalid('user_id')}"
 _ENROL = _commands(_steps("reasoned", *_where(_ENROL_STEPS, "skip_reason IS NULL")))
 _TEACH = _commands(
@@ -243,9 +246,9 @@ _LEGACY = _commands(
                 ("3", "'ENROLL'", _LEGACY_ROLE, _LEGACY_UNIT),
                 ("4", "'ENROLL'", "'Student'", "short_name"),
             ),
-            f"status = 'Inscrito' AND {_VALID}",
+            f"NOT {_LEFT} AND {_VALID}",
         ),
-        (*_LEAVE, f"status <> 'Inscrito' AND {_VALID}"),
+        (*_LEAVE, f"{_LEFT} AND {_VALID}"),
     ),
     repeat_id=True,
 )
@@ -266,6 +269,13 @@ _MISSING = "doc_no IS NULL OR email IS NULL OR first_name IS NULL OR last_name I
 
 _QUERIES = {
     "scan_courses": "SELECT short_name, nrc, term FROM fx_courses",
+    "distinct_courses": """SELECT short_name, nrc, term FROM fx_courses UNION ALL
+      SELECT short_name, cast(cast(nrc AS BIGINT) + 1 AS VARCHAR), term FROM fx_courses WHERE cast(nrc AS BIGINT) % 13 = 0""",
+    "conflicting_courses": """SELECT short_name, CAST(2 AS BIGINT) AS n FROM fx_courses WHERE cast(nrc AS BIGINT) % 13 = 0""",
+    "spreadsheet_dates": """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+      CASE WHEN l_linenumber % 5 < 4 THEN strftime(l_shipdate, '%Y-%m-%d') || CASE WHEN l_linenumber % 5 = 2 THEN ' 12:00:00' ELSE ' 00:00:00' END END AS activity_at
+      FROM lineitem""",
+    "sink_hot_course_list": f"""SELECT line, CAST(row_number() OVER (ORDER BY phase, src_file, row_no, section, user_id, step) AS BIGINT) AS place FROM ({_TEACH})""",
     "ingest_students": f"SELECT src_file, row_no, {_EXTRACT_COLUMNS} FROM fx_students",
     "ingest_teachers": f"""SELECT src_file, row_no, term, section, crosslist, teacher_id, doc_type, doc_no, email,
       {_title("first_name")} AS first_name, {_title("last_name")} AS last_name, {_stamp()} AS activity_at FROM teachers""",
@@ -313,8 +323,8 @@ _QUERIES = {
     "mixed_commands": _commands(
         _steps(
             "classed",
-            *_where(_ENROL_STEPS, f"status = 'Inscrito' AND role IS NOT NULL AND {_VALID}"),
-            (*_LEAVE, f"status <> 'Inscrito' AND {_VALID}"),
+            *_where(_ENROL_STEPS, f"NOT {_LEFT} AND role IS NOT NULL AND {_VALID}"),
+            (*_LEAVE, f"{_LEFT} AND {_VALID}"),
         )
     ),
     "legacy_enrol_commands": _LEGACY,

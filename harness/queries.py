@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from harness import views as fx
@@ -46,6 +46,24 @@ def scan_courses(spark, sf):
     return fx.courses(spark, sf).select(*schemas.COURSE_COLUMNS)
 
 
+def _listed_twice(spark: SparkSession, sf: str) -> DataFrame:
+    """The course list with every seventh course repeated, and every thirteenth under a second number."""
+    listed, nrc = fx.courses(spark, sf), F.col("nrc").cast("bigint")
+    again = listed.where(nrc % 7 == 0)
+    other = listed.where(nrc % 13 == 0).withColumn("nrc", (nrc + 1).cast("string"))
+    return listed.unionByName(again).unionByName(other)
+
+
+@query
+def distinct_courses(spark, sf):
+    return roster.distinct_courses(_listed_twice(spark, sf))
+
+
+@query
+def conflicting_courses(spark, sf):
+    return roster.conflicting_courses(_listed_twice(spark, sf))
+
+
 def _roster_columns(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     return df.select(*schemas.LINEAGE, *[c for c in columns if c != "activity_ts"], _stamp())
 
@@ -173,6 +191,24 @@ def activity_since(spark, sf):
     return rows.where(rf.active_since(F.col("activity_ts"), SINCE)).select(*KEYS, "student_id", _stamp())
 
 
+@query
+def spreadsheet_dates(spark, sf):
+    """Ship dates as ISO text, day-first text, day counts with and without a fraction, and rubbish."""
+    rows, date = fx.table(spark, sf, "lineitem"), F.col("l_shipdate")
+    days = F.datediff(date, F.lit("1899-12-30"))
+    texts = [
+        F.date_format(date, "yyyy-MM-dd"),
+        F.date_format(date, "dd/MM/yyyy"),
+        F.concat(days.cast("string"), F.lit(".5")),
+        days.cast("string"),
+        F.lit("soon"),
+    ]
+    text = F.element_at(F.array(*texts), (F.col("l_linenumber") % 5 + 1).cast("int"))
+    read = rf.parse_activity(text, ("dd/MM/yyyy",))
+    stamp = F.date_format(read, "yyyy-MM-dd HH:mm:ss").alias("activity_at")
+    return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", stamp)
+
+
 @query
 def programme_class(spark, sf):
     partners = F.array(*[F.lit(p).cast("string") for p in ("AP", "BS", "ZZ", "nan", None)])
@@ -498,6 +534,25 @@ def sink_course_lists(spark, sf):
     return spark.read.schema("line string, short_name string").text(folder)
 
 
+@query
+def sink_hot_course_list(spark, sf):
+    """All teachers as the list of one course: the place of each line when part files are read by name."""
+    folder = fresh_dir(spark, "lists")
+    cmds = enrolment.teacher_commands(fx.courses(spark, sf), fx.teachers(spark, sf), fx.users(spark, sf))
+    sinks.write_course_lists(cmds.withColumn("short_name", F.lit("hot")), folder)
+    lines = spark.read.text(folder).select(
+        F.col("value").alias("line"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("at"),
+    )
+    sizes = lines.groupBy("file", "start").agg(F.count("*").alias("n"), F.min("at").alias("first"))
+    earlier = Window.orderBy("file", "start").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("n").over(earlier), F.lit(0))
+    placed = lines.join(sizes.select("file", "start", "first", before.alias("before")), ["file", "start"])
+    return placed.select("line", (F.col("before") + F.col("at") - F.col("first") + 1).alias("place"))
+
+
 @query
 def sink_consolidated(spark, sf):
     folder = fresh_dir(spark, "consolidated")

@@ -36,11 +36,11 @@ def _pick(value: Column, cases: dict[int, str], otherwise: str | None) -> Column
 def courses(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("p_partkey")
     suffix = _pick(
-        key % 110,
-        {0: "10", 10: "11", 20: "20", 30: "21", 40: "41", 50: "42", 60: "50", 70: "17", 80: "27", 90: "41V1"},
+        key % 11,
+        {0: "10", 1: "11", 2: "20", 3: "21", 4: "41", 5: "42", 6: "50", 7: "17", 8: "27", 9: "41V1"},
         "99",
     )
-    rows = table(spark, sf_dir, "part").where(key % 10 == 0)
+    rows = table(spark, sf_dir, "part")
     term, nrc = F.concat(F.lit("2026"), suffix), _text(key + 20000)
     size, part = F.lpad(_text("p_size"), 2, "0"), F.lpad(_text("p_partkey"), 4, "0")
     head = F.concat(F.lit("55"), size)
@@ -54,7 +54,7 @@ def _sold_courses(spark: SparkSession, sf_dir: str, items: DataFrame, cut: bool)
     keyed = listed.select(
         (F.col("nrc").cast("bigint") - 20000).alias("pk"), F.col("nrc").alias("crosslist"), term.alias("term")
     )
-    return items.join(keyed, F.col("pk") == F.col("l_partkey") - F.col("l_partkey") % 10)
+    return items.join(keyed, F.col("pk") == F.col("l_partkey"))
 
 
 def students(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,11 +80,12 @@ def students(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(key % 17 == 0, F.concat(F.lit("AB"), _text("c_custkey")))
         .otherwise(_text(key * 7919 + 10000000))
         .alias("doc_no"),
-        F.concat(F.lit("u"), _text("c_custkey"), F.lit("@example.org")).alias("email"),
+        F.when(key % 41 != 0, F.concat(F.lit("u"), _text("c_custkey"), F.lit("@example.org"))).alias("email"),
         F.concat(F.lit(" "), F.lower("c_mktsegment"), F.lit(" 3er ")).alias("first_name"),
         F.lit("o'neil-de la ñu").alias("last_name"),
         F.lit(None).cast("string").alias("enrol_code"),
-        F.when(F.col("l_returnflag") == "N", "Inscrito")
+        F.when(F.col("l_orderkey") % 37 == 0, F.lit(None).cast("string"))
+        .when(F.col("l_returnflag") == "N", "Inscrito")
         .when(F.col("l_returnflag") == "A", "Cancelado")
         .otherwise("Eliminado")
         .alias("status"),
@@ -98,7 +99,7 @@ def students(spark: SparkSession, sf_dir: str) -> DataFrame:
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("c_custkey")
     repeats = F.when(key % 50 == 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    rows = table(spark, sf_dir, "customer").where(key % 3 != 0).select("*", F.explode(repeats).alias("dup"))
+    rows = table(spark, sf_dir, "customer").select("*", F.explode(repeats).alias("dup"))
     role = _pick(
         F.col("c_nationkey") % 8,
         {0: "135", 1: "136", 2: "137", 3: "138.0", 4: "143", 5: "150"},
@@ -106,7 +107,8 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return rows.select(
         (key + F.col("dup") * F.lit(1000000000)).alias("row_no"),
-        _text("c_custkey").alias("user_name"),
+        # a third of the directory is not in any roster
+        _text(F.when(key % 3 == 0, key + 500000000).otherwise(key)).alias("user_name"),
         F.col("c_name").alias("first_name"),
         F.col("c_mktsegment").alias("last_name"),
         F.when(F.col("dup") == 1, "150").otherwise(role).alias("org_role_id"),
@@ -116,7 +118,7 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def teachers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = table(spark, sf_dir, "lineitem").where("l_linenumber = 1").select(
+    items = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate"
     )
     staff = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
@@ -147,11 +149,12 @@ def teachers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def coordinators(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("n_nationkey")
     repeats = F.when(key % 5 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    rows = table(spark, sf_dir, "nation").where(key % 11 != 3).select("*", F.explode(repeats).alias("dup"))
+    rows = table(spark, sf_dir, "nation").select("*", F.explode(repeats).alias("dup"))
     return rows.select(
         (key + F.col("dup") * 100).alias("row_no"),
         F.concat(F.lit("CC"), _text("n_nationkey")).alias("cost_centre"),
-        F.when(F.col("dup") == 1, _text(key + 800000))
+        F.when(key % 11 == 3, "-")
+        .when(F.col("dup") == 1, _text(key + 800000))
         .when(key % 7 == 0, "-")
         .when(key % 2 == 0, _text(key * 3 + 1))
         .otherwise(_text(key + 900000))
@@ -173,10 +176,10 @@ fx_courses AS (
   SELECT concat('55', lpad(cast(p_size AS VARCHAR), 2, '0'), '-', lpad(cast(p_partkey AS VARCHAR), 4, '0'), '-', term, '-', nrc) AS short_name,
          nrc, term
   FROM (SELECT p_partkey, p_size, cast(20000 + p_partkey AS VARCHAR) AS nrc,
-               concat('2026', CASE p_partkey % 110 WHEN 0 THEN '10' WHEN 10 THEN '11' WHEN 20 THEN '20' WHEN 30 THEN '21'
-                 WHEN 40 THEN '41' WHEN 50 THEN '42' WHEN 60 THEN '50' WHEN 70 THEN '17' WHEN 80 THEN '27'
-                 WHEN 90 THEN '41V1' ELSE '99' END) AS term
-        FROM part WHERE p_partkey % 10 = 0) t),
+               concat('2026', CASE p_partkey % 11 WHEN 0 THEN '10' WHEN 1 THEN '11' WHEN 2 THEN '20'
+                 WHEN 3 THEN '21' WHEN 4 THEN '41' WHEN 5 THEN '42' WHEN 6 THEN '50' WHEN 7 THEN '17' WHEN 8 THEN '27'
+                 WHEN 9 THEN '41V1' ELSE '99' END) AS term
+        FROM part) t),
 fx_students AS (
   SELECT concat('f', cast(l.l_orderkey % 3 AS VARCHAR)) AS src_file,
          l.l_orderkey * 10 + l.l_linenumber AS row_no,
@@ -185,25 +188,25 @@ fx_students AS (
          CASE c.c_custkey % 3 WHEN 0 THEN 'CC' WHEN 1 THEN 'TI' ELSE NULL END AS doc_type,
          CASE WHEN c.c_custkey % 17 = 0 THEN concat('AB', cast(c.c_custkey AS VARCHAR))
               ELSE cast(10000000 + c.c_custkey * 7919 AS VARCHAR) END AS doc_no,
-         concat('u', cast(c.c_custkey AS VARCHAR), '@example.org') AS email,
+         CASE WHEN c.c_custkey % 41 <> 0 THEN concat('u', cast(c.c_custkey AS VARCHAR), '@example.org') END AS email,
          concat(' ', lower(c.c_mktsegment), ' 3er ') AS first_name, 'o''neil-de la ñu' AS last_name,
          cast(NULL AS VARCHAR) AS enrol_code,
-         CASE l.l_returnflag WHEN 'N' THEN 'Inscrito' WHEN 'A' THEN 'Cancelado' ELSE 'Eliminado' END AS status,
+         CASE WHEN l.l_orderkey % 37 = 0 THEN NULL WHEN l.l_returnflag = 'N' THEN 'Inscrito' WHEN l.l_returnflag = 'A' THEN 'Cancelado' ELSE 'Eliminado' END AS status,
          l.l_shipdate AS activity_ts,
          CASE WHEN l.l_linestatus = 'O' THEN 'Y' ELSE 'N' END AS paid,
          CASE c.c_custkey % 5 WHEN 0 THEN 'AP' WHEN 1 THEN 'BS' WHEN 2 THEN 'ZZ' ELSE NULL END AS partner,
          concat('CC', cast(c.c_nationkey AS VARCHAR)) AS program_code
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
   JOIN (SELECT nrc, left(term, 6) AS term6, cast(nrc AS bigint) - 20000 AS pk FROM fx_courses) k
-    ON k.pk = l.l_partkey - l.l_partkey % 10),
+    ON k.pk = l.l_partkey),
 fx_users AS (
-  SELECT c_custkey + dup * 1000000000 AS row_no, cast(c_custkey AS VARCHAR) AS user_name, c_name AS first_name, c_mktsegment AS last_name,
+  SELECT c_custkey + dup * 1000000000 AS row_no, cast(CASE WHEN c_custkey % 3 = 0 THEN c_custkey + 500000000 ELSE c_custkey END AS VARCHAR) AS user_name, c_name AS first_name, c_mktsegment AS last_name,
          CASE WHEN dup = 1 THEN '150' ELSE CASE c_nationkey % 8 WHEN 0 THEN '135' WHEN 1 THEN '136' WHEN 2 THEN '137'
            WHEN 3 THEN '138.0' WHEN 4 THEN '143' WHEN 5 THEN '150' ELSE '110' END END AS org_role_id,
          CASE WHEN c_custkey % 4 = 0 THEN '' ELSE concat('CC. ', cast(c_custkey AS VARCHAR)) END AS org_defined_id,
          concat('u', cast(c_custkey AS VARCHAR), '@example.org') AS external_email
   FROM customer CROSS JOIN (SELECT 0 AS dup UNION ALL SELECT 1 AS dup) d
-  WHERE c_custkey % 3 <> 0 AND (dup = 0 OR c_custkey % 50 = 1)),
+  WHERE dup = 0 OR c_custkey % 50 = 1),
 fx_teachers AS (
   SELECT 'f0' AS src_file, l.l_orderkey * 10 + l.l_linenumber AS row_no, k.term AS term,
          cast(30000 + l.l_partkey % 1000 AS VARCHAR) AS section, k.nrc AS crosslist,
@@ -213,15 +216,14 @@ fx_teachers AS (
          concat('t', cast(s.s_suppkey AS VARCHAR), '@example.org') AS email, lower(s.s_name) AS first_name,
          'pérez gómez' AS last_name, l.l_shipdate AS activity_ts
   FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
-  JOIN (SELECT nrc, term, cast(nrc AS bigint) - 20000 AS pk FROM fx_courses) k ON k.pk = l.l_partkey - l.l_partkey % 10
-  WHERE l.l_linenumber = 1),
+  JOIN (SELECT nrc, term, cast(nrc AS bigint) - 20000 AS pk FROM fx_courses) k ON k.pk = l.l_partkey),
 fx_coordinators AS (
   SELECT n_nationkey + dup * 100 AS row_no, concat('CC', cast(n_nationkey AS VARCHAR)) AS cost_centre,
-         CASE WHEN dup = 1 THEN cast(800000 + n_nationkey AS VARCHAR) WHEN n_nationkey % 7 = 0 THEN '-'
+         CASE WHEN n_nationkey % 11 = 3 THEN '-' WHEN dup = 1 THEN cast(800000 + n_nationkey AS VARCHAR) WHEN n_nationkey % 7 = 0 THEN '-'
               WHEN n_nationkey % 2 = 0 THEN cast(n_nationkey * 3 + 1 AS VARCHAR) ELSE cast(900000 + n_nationkey AS VARCHAR) END AS coordinator_id,
          n_name AS coordinator_name, concat('k', cast(n_nationkey AS VARCHAR), '@example.org') AS coordinator_email
   FROM nation CROSS JOIN (SELECT 0 AS dup UNION ALL SELECT 1 AS dup) d
-  WHERE n_nationkey % 11 <> 3 AND (dup = 0 OR n_nationkey % 5 = 0)),
+  WHERE dup = 0 OR n_nationkey % 5 = 0),
 fx_course_links AS (
   SELECT page_id AS row_no,
          CASE WHEN page_id % 6 = 0 THEN url WHEN page_id % 13 = 5 THEN NULL

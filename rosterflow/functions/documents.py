@@ -9,14 +9,11 @@ from rosterflow.functions.text import strip_decimal
 
 
 def doc_number(c: Column) -> Column:
-    """Whole numbers grouped in thousands with dots; anything else as it came."""
+    """Whole numbers of any length grouped in thousands with dots; anything else as it came."""
     raw = strip_decimal(c)
-    digits = F.btrim(raw)
-    grouped = (
-        F.when(digits.rlike(r"^[+-]?[0-9]{1,18}$"), F.format_number(digits.try_cast("bigint"), 0))
-        .when(digits.rlike(r"^[+-]?[0-9]{19,38}$"), F.format_number(digits.try_cast("decimal(38,0)"), 0))
-    )
-    return F.coalesce(F.replace(grouped, F.lit(","), F.lit(".")), raw)
+    digits = F.regexp_replace(F.btrim(raw), r"^(-?)[+]?0*(?=[0-9])", "$1")
+    grouped = F.regexp_replace(F.regexp_replace(digits, r"^-0$", "0"), r"(?<=[0-9])(?=([0-9]{3})+$)", ".")
+    return F.when(F.btrim(raw).rlike(r"^[+-]?[0-9]+$"), grouped).otherwise(raw)
 
 
 def doc_label(doc_type: Column, doc_no: Column) -> Column:

@@ -39,12 +39,12 @@ def student_steps(process: Process, rules: Rules = DEFAULT_RULES) -> Column:
         F.col("is_known"), F.array(_step(UPDATE), _step(ENROLL, role, rules.root_unit), join)
     ).otherwise(F.array(_step(CREATE, role), _step(ENROLL, role, unit), join))
     if process is Process.MIXED:
-        return F.when(F.col("status") == rules.enrolled, enrol).otherwise(leave)
+        return F.when(rules.has_left(F.col("status")), leave).otherwise(enrol)
     return enrol
 
 
 def legacy_steps(rules: Rules = DEFAULT_RULES) -> Column:
-    """Five commands for each enrolled row without asking the directory, else one."""
+    """Five commands for each row without a cancellation, without asking the directory, else one."""
     role, unit, course = F.col("role"), F.col("org_unit"), F.col("short_name")
     enrol = F.array(
         _step(CREATE, role),
@@ -54,7 +54,7 @@ def legacy_steps(rules: Rules = DEFAULT_RULES) -> Column:
         _step(ENROLL, rules.course_role, course),
     )
     leave = F.array(_step(UNENROLL, unit=course))
-    return F.when(F.coalesce(F.col("status"), F.lit("")) == rules.enrolled, enrol).otherwise(leave)
+    return F.when(rules.has_left(F.col("status")), leave).otherwise(enrol)
 
 
 def teacher_steps(rules: Rules = DEFAULT_RULES) -> Column:

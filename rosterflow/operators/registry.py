@@ -70,7 +70,12 @@ def unknown_courses(found: DataFrame, registry: DataFrame) -> DataFrame:
 
 def new_courses(links: DataFrame, catalogue: DataFrame, registry: DataFrame) -> DataFrame:
     """Registry rows to add: new, well-formed short names with their number and term."""
-    parts = unknown_courses(found_courses(links, catalogue), registry).withColumn(
+    return well_formed(unknown_courses(found_courses(links, catalogue), registry))
+
+
+def well_formed(unknown: DataFrame) -> DataFrame:
+    """Short names of four parts with their number and term."""
+    parts = unknown.withColumn(
         "_parts", short_name_parts(F.col("short_name"))
     )
     return parts.where(F.col("_parts").isNotNull()).select(
@@ -80,7 +85,11 @@ def new_courses(links: DataFrame, catalogue: DataFrame, registry: DataFrame) ->
 
 def malformed_courses(links: DataFrame, catalogue: DataFrame, registry: DataFrame) -> DataFrame:
     """New short names that do not have four parts, as audit events."""
-    unknown = unknown_courses(found_courses(links, catalogue), registry)
+    return malformed(unknown_courses(found_courses(links, catalogue), registry))
+
+
+def malformed(unknown: DataFrame) -> DataFrame:
+    """Short names that do not have four parts, as audit events."""
     return unknown.where(short_name_parts(F.col("short_name")).isNull()).select(
         "short_name", F.lit("malformed_short_name").alias("event"), F.col("short_name").alias("detail")
     )

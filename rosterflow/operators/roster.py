@@ -8,6 +8,7 @@ and document formatting.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,25 +29,25 @@ from rosterflow.operators.first import first_rows
 from rosterflow.schemas import LINEAGE, STUDENT_ORDER, TEACHER_ORDER
 
 
-def student_keys(students: DataFrame, since: dt.date | None = None) -> DataFrame:
+def student_keys(students: DataFrame, since: dt.date | None = None, formats: Sequence[str] = ()) -> DataFrame:
     """Student roster with clean keys, active since the date."""
-    keyed = _keys(students, "student_id", roster_id(F.col("student_id")), since)
+    keyed = _keys(students, "student_id", roster_id(F.col("student_id")), since, formats)
     return keyed.withColumn("partner", trim_all(F.col("partner")))
 
 
-def teacher_keys(teachers: DataFrame, since: dt.date | None = None) -> DataFrame:
+def teacher_keys(teachers: DataFrame, since: dt.date | None = None, formats: Sequence[str] = ()) -> DataFrame:
     """Teacher roster with clean keys, active since the date."""
-    return _keys(teachers, "teacher_id", normalise_id(F.col("teacher_id")), since)
+    return _keys(teachers, "teacher_id", normalise_id(F.col("teacher_id")), since, formats)
 
 
-def _keys(roster: DataFrame, id_column: str, user_id, since: dt.date | None) -> DataFrame:
+def _keys(roster: DataFrame, id_column: str, user_id, since: dt.date | None, formats: Sequence[str]) -> DataFrame:
     return roster.withColumns(
         {
             "term": strip_decimal(F.col("term")),
             "section": strip_decimal(F.col("section")),
             "crosslist": strip_decimal(F.col("crosslist")),
             id_column: user_id,
-            "activity_ts": parse_activity(F.col("activity_ts")),
+            "activity_ts": parse_activity(F.col("activity_ts"), formats),
         }
     ).where(active_since(F.col("activity_ts"), since))
 
@@ -61,9 +62,9 @@ def person_columns(rows: DataFrame) -> DataFrame:
     )
 
 
-def clean_students(students: DataFrame, since: dt.date | None = None) -> DataFrame:
+def clean_students(students: DataFrame, since: dt.date | None = None, formats: Sequence[str] = ()) -> DataFrame:
     """The whole clean-up of the student roster."""
-    rows = person_columns(student_keys(students, since))
+    rows = person_columns(student_keys(students, since, formats))
     return rows.withColumns(
         {
             "doc_no": strip_decimal(F.col("doc_no")),
@@ -72,9 +73,9 @@ def clean_students(students: DataFrame, since: dt.date | None = None) -> DataFra
     )
 
 
-def clean_teachers(teachers: DataFrame, since: dt.date | None = None) -> DataFrame:
+def clean_teachers(teachers: DataFrame, since: dt.date | None = None, formats: Sequence[str] = ()) -> DataFrame:
     """The whole clean-up of the teacher roster."""
-    rows = person_columns(teacher_keys(teachers, since))
+    rows = person_columns(teacher_keys(teachers, since, formats))
     return rows.withColumn("doc_no", strip_decimal(F.col("doc_no")))
 
 
@@ -93,19 +94,23 @@ def dedupe_teachers(teachers: DataFrame) -> DataFrame:
 
 
 def distinct_courses(courses: DataFrame) -> DataFrame:
-    """Each short name once, with the number and term of its first row."""
-    order = [c for c in (*LINEAGE, "nrc", "term") if c in courses.columns]
+    """Each course once. A short name listed with two numbers or terms is two courses."""
     named = courses.where(F.col("short_name").isNotNull())
-    return first_rows(named, ["short_name"], order).select(
+    return named.select(
         "short_name",
         strip_decimal(F.col("nrc")).alias("nrc"),
         strip_decimal(F.col("term")).alias("term"),
-    )
+    ).distinct()
 
 
 def duplicate_courses(courses: DataFrame) -> DataFrame:
-    """Short names listed more than once."""
-    return courses.groupBy("short_name").agg(F.count("*").alias("n")).where("n > 1")
+    """Courses listed more than once."""
+    return courses.groupBy("short_name", "nrc", "term").agg(F.count("*").alias("n")).where("n > 1")
+
+
+def conflicting_courses(courses: DataFrame) -> DataFrame:
+    """Short names listed with different numbers or terms."""
+    return distinct_courses(courses).groupBy("short_name").agg(F.count("*").alias("n")).where("n > 1")
 
 
 def match_courses(courses: DataFrame, roster: DataFrame, cut: bool) -> DataFrame:

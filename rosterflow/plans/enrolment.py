@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,9 +35,10 @@ def matched_students(
     process: Process = Process.ENROL,
     rules: Rules = DEFAULT_RULES,
     since: dt.date | None = None,
+    formats: Sequence[str] = (),
 ) -> DataFrame:
     """First roster row per person and section, matched with courses and classified."""
-    roster = dedupe_students(student_keys(students, since))
+    roster = dedupe_students(student_keys(students, since, formats))
     rows = match_courses(courses, roster, cut=True).withColumnRenamed("student_id", "user_id")
     partner = partner_or_home(F.col("partner"), rules)
     classed = with_programme_class(rows.withColumn("partner", partner), rules)
@@ -83,10 +85,10 @@ def legacy_student_commands(
 
 
 def matched_teachers(
-    courses: DataFrame, teachers: DataFrame, since: dt.date | None = None
+    courses: DataFrame, teachers: DataFrame, since: dt.date | None = None, formats: Sequence[str] = ()
 ) -> DataFrame:
     """First roster row per teacher and section, matched with courses."""
-    roster = dedupe_teachers(teacher_keys(teachers, since))
+    roster = dedupe_teachers(teacher_keys(teachers, since, formats))
     rows = match_courses(courses, roster, cut=False).withColumnRenamed("teacher_id", "user_id")
     return rows.withColumn("skip_reason", F.when(is_invalid_padded(F.col("user_id")), "invalid_id"))
 

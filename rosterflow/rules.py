@@ -75,6 +75,10 @@ class Rules:
         role, unit = _lookup([(code.isin(keys), v) for v, keys in _by_value(self.legacy_classes)])
         return F.coalesce(role, F.lit(self.course_role)), F.coalesce(unit, F.lit(""))
 
+    def has_left(self, status: Column) -> Column:
+        """True for an explicit cancellation or removal only: a blank status takes nobody out."""
+        return F.coalesce(status.isin(self.cancelled, self.removed), F.lit(False))
+
     def former_unit(self, role_id: Column) -> Column:
         """Unit that a known user leaves on becoming a teacher, or null."""
         units = [F.when(role_id.isin(keys), F.lit(u)) for u, keys in _by_value(self.former_role_units)]

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
+from pyspark import SparkFiles
 from pyspark.sql import SparkSession
 
 # What the plans of this package count on. All are defaults of current Spark but
@@ -33,14 +35,14 @@ def build_session(app_name: str = "rosterflow", master: str | None = None, **con
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the cluster.
 
-    Only a session that names none (a local test) falls back to a temporary folder.
+    Only a session that names none (a local test) gets one, in its warehouse.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="rosterflow-")
+    folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
@@ -48,3 +50,20 @@ def shared_dir(spark: SparkSession) -> str:
 def fresh_dir(spark: SparkSession, name: str) -> str:
     """A new folder name under the shared folder."""
     return f"{shared_dir(spark)}/rosterflow/{name}-{uuid.uuid4().hex}"
+
+
+def share_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once a session, as ``--py-files`` would."""
+    context = spark.sparkContext
+    if context.applicationId in _SHARED:
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(SparkFiles.getRootDirectory()) / "rosterflow.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(root.rglob("*.py")):
+            out.write(file, file.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    _SHARED.add(context.applicationId)
+
+
+_SHARED: set[str] = set()

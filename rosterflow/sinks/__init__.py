@@ -2,7 +2,6 @@
 
 from rosterflow.sinks.lists import (
     land_roster,
-    list_chunks,
     run_path,
     write_audit,
     write_consolidated,
@@ -15,7 +14,6 @@ from rosterflow.sinks.lists import (
 
 __all__ = [
     "land_roster",
-    "list_chunks",
     "run_path",
     "write_audit",
     "write_consolidated",

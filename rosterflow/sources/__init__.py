@@ -4,7 +4,6 @@ from rosterflow.sources.extracts import Extracts, list_extracts, normalise_heade
 from rosterflow.sources.tables import (
     ingest_students,
     ingest_teachers,
-    listed_terms,
     prune_to_terms,
     read_bridge,
     read_coordinators,
@@ -22,7 +21,6 @@ __all__ = [
     "ingest_students",
     "ingest_teachers",
     "list_extracts",
-    "listed_terms",
     "normalise_headers",
     "prune_to_terms",
     "read_bridge",

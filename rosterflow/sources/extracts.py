@@ -12,6 +12,7 @@ from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from typing import NamedTuple
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,6 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 LOCK_PREFIX = "~$"
+#: Errors that lie in a file itself.
+UNREADABLE = ("UNABLE_TO_INFER_SCHEMA", "CANNOT_READ_FILE_FOOTER", "FAILED_READ_FILE.NO_HINT", "is not a Parquet file", "MALFORMED_CSV_RECORD")
 REJECTED_SCHEMA = "src_file string, reason string, missing array<string>"
 
 
@@ -39,18 +42,14 @@ def normalise_headers(df: DataFrame) -> DataFrame:
 
 
 def list_extracts(spark: SparkSession, path: str, file_format: str) -> list[str]:
-    """Files of the format below a path, without the lock files of open editors.
-
-    Files of no byte are not listed: they hold neither a header nor a row.
-    """
+    """Files of the format below a path, without the lock files of open editors. No job is run."""
     listing = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", f"*.{file_format}")
         .option("recursiveFileLookup", True)
     )
     try:
-        found = listing.load(path).select("path").toLocalIterator()
-        files = sorted(row.path for row in found)
+        files = sorted(_plain(unquote(f)) for f in listing.load(path).inputFiles())
     except AnalysisException as error:
         raise FileNotFoundError(f"no extract folder at {path}") from error
     files = [f for f in files if not f.rsplit("/", 1)[-1].startswith(LOCK_PREFIX)]
@@ -75,8 +74,10 @@ def _headers(spark: SparkSession, files: list[str], file_format: str) -> dict[st
         reader = spark.read.option("header", True) if file_format == "csv" else spark.read
         try:
             return tuple(reader.format(file_format).load(file).columns)
-        except PySparkException:
-            return ()
+        except PySparkException as error:
+            if any(kind in str(error) for kind in UNREADABLE):
+                return ()
+            raise  # a lost executor or a denied read is no property of the file
 
     with ThreadPoolExecutor(16) as pool:
         return dict(zip(files, pool.map(header, files), strict=True))

@@ -150,15 +150,38 @@ def test_drop_and_since(spark, inputs):
     assert set(counts_of(spark, out.counts).values()) == {0}
 
 
-def test_long_lists_are_split_without_tearing_a_block(spark, inputs):
-    whole = lists_of(run_student_job(spark, inputs()).lists)
-    out = run_student_job(spark, inputs(rows_per_file=3, run_id="split"))
-    for name, lines in lists_of(out.lists).items():
-        assert Counter(lines) == Counter(whole[name])
-        for part in Path(out.lists, f"short_name={name}").glob("part-*"):
-            text = part.read_text(encoding="utf8").splitlines()
-            for at in range(0, len(text), 3):
-                assert len({line.split(",")[1] for line in text[at : at + 3]}) == 1
+def test_short_name_with_two_numbers_is_two_courses(spark, inputs, tmp_path):
+    """Rows of either number get their commands; exact repeats count once."""
+    name, nrc, term = course(2)
+    rows = [course(1), course(2), course(2), (name, "20001", term)]
+    listed = write_csv(tmp_path / "twice.csv", ["Nombre", "NRC", "Periodo"], rows)
+    out = run_student_job(spark, inputs(courses_path=listed, run_id="twice"))
+    assert {line.split(",")[1] for line in lists_of(out.lists)[name]} == {"000001001", "000001002"}
+    counted = spark.read.schema("short_name string, nrc string, n bigint").csv(out.counts).collect()
+    assert sorted(map(tuple, counted)) == [(course(1)[0], "20001", 1), (name, "20001", 1), (name, nrc, 1)]
+    events = Counter(r.event for r in spark.read.parquet(out.audit).collect())
+    assert events["duplicate_course"] == 1 and events["conflicting_course"] == 1
+
+
+def test_staff_job_without_coordinators(spark, inputs, tmp_path):
+    out = run_staff_job(spark, inputs(coordinators_path=str(tmp_path / "none.csv"), run_id="alone"))
+    assert all(len(lines) == 3 for lines in lists_of(out.lists).values())
+    events = Counter(r.event for r in spark.read.parquet(out.audit).collect())
+    assert events["no_coordinator_list"] == 1 and events["coordinator_ok"] == 0
+
+
+def test_bad_dates_are_told(spark, inputs, tmp_path):
+    rows = [student(i, real_term(i), 1000 + i, "P") for i in (1, 2, 3, 4)]
+    for row, text in zip(rows, ("19/03/2026", "46100", "soon", "2026-03-19")):
+        row[11] = text
+    write_csv(tmp_path / "odd" / "a.csv", STUDENT_HEADER, rows)
+    more = {"students_path": str(tmp_path / "odd"), "since": dt.date(2026, 1, 1)}
+    out = run_student_job(spark, inputs(run_id="odd", date_formats=("dd/MM/yyyy",), **more))
+    assert {line.split(",")[1] for line in lines_of(out.consolidated)} == {"000001001", "000001002", "000001004"}
+    events = {r.event: r.detail for r in spark.read.parquet(out.audit).collect()}
+    assert events["bad_date"].endswith("a.csv 1")
+    with pytest.raises(ValueError):
+        inputs(since=dt.date.today() + dt.timedelta(days=2))
 
 
 def test_landed_roster_gives_the_same_commands(spark, inputs, tmp_path):
@@ -211,7 +234,7 @@ def test_staff_block_order(spark, duck, sf_dir, tmp_path):
     sinks.write_course_lists(cmds, str(tmp_path / "lists"))
     by_course = defaultdict(list)
     for folder in (tmp_path / "lists").glob("short_name=*"):
-        assert len(list(folder.glob("part-*"))) == 1
+        assert len(list(folder.glob("part-*"))) <= 2
         by_course[folder.name] = lines_of(str(folder))
     assert by_course
     for lines in by_course.values():
