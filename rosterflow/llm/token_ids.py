@@ -32,6 +32,8 @@ SELECTORS = ((60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8
 ESCAPE = 14
 #: A block is closed when it has so many ids.
 BLOCK_IDS = 1 << 18
+#: Texts are encoded in runs of so many bytes, and a process keeps so many segments.
+RUN_BYTES, KEPT = 4_000_000, 900_000
 SHARD_CHARS = 16_000_000
 END_ID = 0
 BLOCKS = "shard int, block int, start long, n_ids long, doc_ids array<long>, payload binary"
@@ -57,12 +59,7 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         run_end = np.repeat(small[last], np.diff(last, prepend=-1))
         fits = (run_end - small + 1 >= SELECTORS[s][0]) | (run_end == n - 1)
         choice[small[fits]] = s
-    step = np.array([c for c, _ in SELECTORS] + [1])[choice].tolist()
-    at, i = [], 0
-    while i < n:
-        at.append(i)
-        i += step[i]
-    at = np.array(at)
+    at = _chain(np.array([c for c, _ in SELECTORS] + [1])[choice])
     chosen = choice[at]
     where = np.arange(len(at)) + np.cumsum(chosen == ESCAPE) - (chosen == ESCAPE)
     out = np.zeros(len(at) + int((chosen == ESCAPE).sum()), np.uint64)
@@ -80,6 +77,23 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out, where[chosen == ESCAPE]
 
 
+def _chain(step: np.ndarray) -> np.ndarray:
+    """The places 0, 0 + step[0], ... before the end; only each eighth is found one by one."""
+    n = len(step)
+    to = [np.minimum(np.arange(n) + step, n)]
+    to[0] = np.append(to[0], n)
+    for _ in range(3):
+        to.append(to[-1][to[-1]])
+    far, at, i = to[3].tolist(), [], 0
+    while i < n:
+        at.append(i)
+        i = far[i]
+    at = np.array(at)
+    for hop in (to[2], to[1], to[0]):
+        at = np.column_stack([at, hop[at]]).ravel()
+    return at[at < n]
+
+
 def unpack(packed: np.ndarray, escapes: np.ndarray, n: int) -> np.ndarray:
     """The ids that ``pack`` got, all words at once."""
     kind = (packed >> np.uint64(60)).astype(np.int64)
@@ -164,7 +178,7 @@ class Tokens:
 
         self._tokenizer = Tokenizer.from_str(model)
         self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self._cache = SegmentCache(self._new)
+        self._cache = SegmentCache(self._new, KEPT)
 
     @classmethod
     def shared(cls, model: str) -> Tokens:
@@ -218,7 +232,7 @@ def write_token_shards(docs: DataFrame, tokenizer: str, path: str, end_id: int =
 
         for batch in batches:
             raw, at = words.utf8(batch["text"])
-            for i, j in words.runs(at, 2_000_000):
+            for i, j in words.runs(at, RUN_BYTES):
                 found, first = tokens(raw[at[i] : at[j]], at[i : j + 1] - at[i])
                 own = np.insert(found, first[1:], end_id)
                 lengths = np.diff(first) + 1
