@@ -40,7 +40,8 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
     spark.conf.set("spark.checkpoint.dir", folder)
