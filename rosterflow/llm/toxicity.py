@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterflow.llm import linear, words
+from rosterflow.llm import linear, words, work
 
 #: Bounds of the labelled sample, by hash of the id.
 MOST_POSITIVE, MOST_NEGATIVE = 3000, 6000
@@ -145,7 +145,7 @@ def _rows(batch: pa.RecordBatch, find: words.Lookup) -> Iterator[tuple[pa.Record
 def learn(docs: DataFrame, labels: DataFrame, seeds: dict[str, tuple[str, ...]] | None = None) -> Chain:
     """A chain of the categories of ``seeds`` and, last, the label ``toxic`` itself."""
     seeds = SEEDS if seeds is None else seeds
-    rows = sample(docs, labels)
+    rows = work.written(sample(docs, labels), "toxicity-sample")  # of bounded size, read three times
     features = choose_features(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -72,6 +72,7 @@ def with_rule(pages: DataFrame, rules: DataFrame) -> DataFrame:
     labels = F.split("host", r"\.")
     endings = hosts.select("host", F.explode(F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))).alias("ending"))
     known = endings.join(of_host.withColumnRenamed("host", "ending"), "ending").groupBy("host").agg(F.flatten(F.collect_list("own")).alias("known"))
+    known = work.written(known, "host-rules")  # a plain side, so that Spark can split a host that has most pages
     best = F.array_max(F.filter("known", lambda r: F.col("path").startswith(r["start"])))
     judged = pages.join(known, "host", "left").withColumn("best", best)
     return judged.withColumn("rule", F.col("best.rule")).withColumn("action", F.when(F.col("best.allow"), "allow").when(~F.col("best.allow"), "block")).drop("known", "best")
