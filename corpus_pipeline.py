@@ -19,13 +19,20 @@ LEAST_SCORE = 0.5
 
 
 def _carried(docs: DataFrame, *names: str) -> DataFrame:
-    """The named columns, and the whole row beside them, safe from columns of the same names."""
-    return docs.select(*names, F.struct("*").alias("_row"))
+    """The named columns, and the others of the row beside them, safe from columns of the same names."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in names]
+    return docs.select(*names, F.struct(F.lit(0).alias("_"), *others).alias("_row"))
+
+
+def _uncarried(docs: DataFrame, *names: str) -> list:
+    """The columns of ``docs`` from what ``_carried`` made of it."""
+    return [F.col(c) if c in names else F.col(f"_row.`{c}`").alias(c) for c in docs.columns]
 
 
 def keep_by_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the repetition rules keep; texts without words go."""
-    return quality_rules.judge(_carried(docs, "text")).where("kept").select("_row.*")
+    kept = quality_rules.judge(_carried(docs, "text")).where("kept")
+    return kept.select(*_uncarried(docs, "text"))
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,8 +43,8 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """
     automata = language_id.learn(docs.where(~language_id.is_held_out()))
     known = language_id.predict(_carried(docs, "text"), automata).where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
-    lang = F.coalesce("_row.lang", "lang_pred")
-    return known.select(*(lang.alias(c) if c == "lang" else F.col(f"_row.`{c}`") for c in docs.columns))
+    lang = F.coalesce("_row.lang", "lang_pred").alias("lang")
+    return known.select(*(lang if c == "lang" else column for c, column in zip(docs.columns, _uncarried(docs, "text"))))
 
 
 def _row_key(doc_id: str = "doc_id") -> list:

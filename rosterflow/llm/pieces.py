@@ -14,14 +14,12 @@ numpy, a byte place at a time.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,7 +32,9 @@ _SIGN = "▁"
 UNKNOWN_PENALTY = 10.0
 #: Segments longer than this are segmented one at a time.
 WIDE = 96
-RUN_BYTES = 2_000_000
+RUN_BYTES = 1_000_000
+#: Distinct segments whose encodings a task keeps.
+KEPT = 200_000
 _UNKNOWN_TEXT = " ⁇ ".encode()
 
 
@@ -98,7 +98,6 @@ class Model:
     byte_id: np.ndarray  # by byte
     unknown: float
     trie: DoubleArray = field(repr=False)
-    key: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     @classmethod
     def load(cls, path: str) -> Model:
@@ -237,23 +236,12 @@ class Model:
         return out
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 class Encoder:
     """Encodes and decodes texts, keeping the encodings of segments that it has met."""
 
-    @classmethod
-    def shared(cls, model: Broadcast[Model]) -> Encoder:
-        """That of this process for a broadcast model, which keeps its encodings from task to task."""
-        if model.value.key not in _ENCODERS:
-            _ENCODERS.clear()
-            _ENCODERS[model.value.key] = cls(model.value)
-        return _ENCODERS[model.value.key]
-
     def __init__(self, model: Model):
         self.model = model
-        self._cache = SegmentCache(self._new)
+        self._cache = SegmentCache(self._new, KEPT)
         surface = [_UNKNOWN_TEXT if k == 0 and not s else s for k, s in enumerate(model.surface)]
         self._size = np.array([len(s) for s in surface])
         self._bytes = np.frombuffer(b"".join(surface), np.uint8).copy()
@@ -310,7 +298,7 @@ def encode(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder.shared(shared)
+        encoder = Encoder(shared.value)
         for batch in batches:
             raw, at = words.utf8(batch["text"])
             for i, j in words.runs(at, RUN_BYTES):
@@ -362,7 +350,7 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder.shared(shared)
+        encoder = Encoder(shared.value)
         for batch in batches:
             raw, at = words.utf8(batch["text"])
             for i, j in words.runs(at, RUN_BYTES):
