@@ -12,7 +12,9 @@ numbers go with ranges of ids, and blocks of a shard are in order.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -170,22 +172,31 @@ _TOKENS: dict[str, Tokens] = {}
 
 
 class Tokens:
-    """Ids of texts by a tokenizer of the tokenizers library."""
+    """Ids of texts by a tokenizer of the tokenizers library.
 
-    def __init__(self, model: str):
+    The string of an added token is that token wherever it stands in a text, and what is
+    around it is encoded apart. Without ``special``, those of special tokens are ordinary text.
+    """
+
+    def __init__(self, model: str, special: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_str(model)
-        self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self._tokenizer.encode_special_tokens = not special
+        added = [t for t in json.loads(model).get("added_tokens") or [] if t["content"] and (special or not t["special"])]
+        # tokens that take in white space or ask for the characters around them: no segments, whole texts
+        self._whole = any(t[flag] for t in added for flag in ("lstrip", "rstrip", "single_word", "normalized"))
+        strings = sorted((t["content"].encode() for t in added), key=len, reverse=True)  # the longest goes first
+        self._added = re.compile(b"|".join(map(re.escape, strings))) if strings else None
         self._cache = SegmentCache(self._new, KEPT)
 
     @classmethod
     def shared(cls, model: str) -> Tokens:
-        """That of this process, which keeps its encodings from task to task."""
+        """That of this process with special tokens, which keeps its encodings from task to task."""
         if model not in _TOKENS:
             _TOKENS.clear()
-            _TOKENS[model] = cls(model)
+            _TOKENS[model] = cls(model, special=True)
         return _TOKENS[model]
 
     def _new(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -196,9 +207,23 @@ class Tokens:
         sizes = np.fromiter(map(len, out), np.int64, len(out))
         return np.fromiter(chain.from_iterable(out), np.int32, int(sizes.sum())), sizes
 
+    def _segments(self, raw: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Starts of segments that are encoded one by one; an added token is one."""
+        if self._whole:
+            return at[:-1][at[:-1] < at[1:]]
+        data = raw.tobytes()
+        if not self._added or not self._added.search(data):
+            return boundaries(raw, at)
+        spans = [m.span() for i, j in zip(at[:-1].tolist(), at[1:].tolist()) for m in self._added.finditer(data, i, j)]
+        first, end = np.array(spans, np.int64).reshape(-1, 2).T
+        start = boundaries(raw, np.unique(np.concatenate([at, first, end])))
+        token = np.searchsorted(first, start, "left") - 1  # the last one that begins before
+        inside = (token >= 0) & (start < np.append(end, 0)[token])
+        return start[~inside]
+
     def __call__(self, raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, and the offsets between them."""
-        start = boundaries(raw, at)
+        start = self._segments(raw, at)
         ids, total = self._cache(raw, start, np.append(start[1:], len(raw)))
         return ids, total[np.searchsorted(start, at)]
 
