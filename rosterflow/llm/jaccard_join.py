@@ -78,7 +78,7 @@ def shingle_sets(docs: DataFrame, n_words: int, block_chars: int) -> DataFrame:
     sets hold too, rare ones first, for sets that can have a partner (one row of a block). ``weight``: how many sets hold a
     shingle of this one, on average."""
     docs = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_key"))
-    plan = tally.Plan.of(docs, block_chars)
+    plan = tally.Plan.of(docs, block_chars, narrow=True)
     blocks = plan.blocks(docs)
 
     def keys(table: pa.Table):

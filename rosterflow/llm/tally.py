@@ -11,8 +11,9 @@ meet their documents again, make the same keys and know the count of each.
 * Blocks and buckets are of bounded size; their numbers follow the measured input. A row
   holds at least one hash, so there are never more rows than n-grams.
 * A block is fixed by its rows alone, so a repeated task gives the same answer.
-* Hashes are as wide as the input needs: two keys fall together with a chance of about
-  one in 2 ** SPARE_BITS, at any size up to 64 bits.
+* Hashes are 64 bits wide, so that counts are those of the keys. A plan that is ``narrow``,
+  for counts that only choose candidates, has hashes as wide as the input needs for a key
+  to meet another with a chance of about one in 2 ** SPARE_BITS.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Bits of a hash beyond those that number the characters of the input.
+#: Bits of a narrow hash beyond those that number the characters of the input.
 SPARE_BITS = 19
 BLOCK_CHARS = 8_000_000
 PACKED = "block int, bucket int, width int, gaps binary, counts binary, large binary"
@@ -42,13 +43,13 @@ class Plan:
     bits: int
 
     @classmethod
-    def of(cls, docs: DataFrame, chars: int = BLOCK_CHARS) -> Plan:
+    def of(cls, docs: DataFrame, chars: int = BLOCK_CHARS, narrow: bool = False) -> Plan:
         total = docs.agg(F.sum(F.length("text"))).first()[0] or 1
-        return cls(max(1, math.ceil(total / chars)), min(64, total.bit_length() + SPARE_BITS))
+        return cls(max(1, math.ceil(total / chars)), min(64, total.bit_length() + SPARE_BITS) if narrow else 64)
 
     @property
     def step(self) -> int:
-        return 2**self.bits // self.n + 1
+        return min(2**self.bits // self.n + 1, 2**64 - 1)
 
     def short(self, hashes: np.ndarray) -> np.ndarray:
         return hashes >> np.uint64(64 - self.bits)
