@@ -7,14 +7,16 @@ each classifier labels the unlabelled documents of which it is surest, and these
 other's training set. Each view is then calibrated on labelled rows that neither has seen,
 and the two probabilities of a document are combined by adding up their evidence.
 
-Training sees a sample of bounded size (``LABELLED``, ``UNLABELLED``); every document is
-scored.
+Labelled rows for training are a sample of bounded size (``LABELLED``). The documents that
+the views label for each other are searched among all unlabelled ones: in each round Spark
+scores every document with both models, and the surest of each view and class are brought
+to the fit, at most ``PER_ROUND`` and one more of each view.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,10 +24,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterflow.llm import linear, words
+from rosterflow.llm import linear, words, work
 
-#: Bounds of the sample, by hash of the id.
-LABELLED, UNLABELLED = 4000, 3000
+#: The bound of the labelled sample, by hash of the id.
+LABELLED = 4000
 CONTENT_BITS = 10
 SOURCE_SLOTS, LANG_SLOTS = 32, 8
 ROUNDS = 4
@@ -87,16 +89,20 @@ def _views(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, np.ndarray,
             yield part, _content(own, offsets), _metadata(part, own, offsets)
 
 
+def _labels(labels: DataFrame, label: str) -> DataFrame:
+    """``doc_id, y`` of each labelled id. That of an id labelled twice is the more frequent one, 1 if even."""
+    told = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
+    return told.groupBy("doc_id").agg((F.avg(F.col(label).cast("double")) >= 0.5).cast("int").alias("y"))
+
+
 def sample(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
-    """A bounded sample of ``docs`` with ``y``: 1, 0, or null where there is no label.
+    """A bounded sample of the labelled ``docs`` with ``y``."""
+    chosen = _labels(labels, label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABELLED)
+    return docs.join(F.broadcast(chosen), "doc_id")  # at most LABELLED pairs of numbers
 
-    The label of an id that is labelled twice is the more frequent one, 1 if even.
-    """
-    key = F.xxhash64("doc_id")
-    one = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy("doc_id").agg((F.avg(F.col(label).cast("double")) >= 0.5).cast("int").alias("y"))
-    free = docs.select("doc_id").where("doc_id is not null").distinct().join(one, "doc_id", "left_anti").select("doc_id", F.lit(None).cast("int").alias("y"))
-    chosen = one.orderBy(key, "doc_id").limit(LABELLED).unionByName(free.orderBy(key, "doc_id").limit(UNLABELLED))
-    return docs.join(F.broadcast(chosen), "doc_id")  # at most LABELLED + UNLABELLED pairs of numbers
+
+#: Of one view and label: the features of documents in both views.
+Found = tuple[list[np.ndarray], np.ndarray]
 
 
 @dataclass
@@ -108,31 +114,22 @@ class CoTrained:
     prior: float
 
     @classmethod
-    def fit(cls, views: list[np.ndarray], y: np.ndarray) -> CoTrained:
-        """``y`` is -1 for unlabelled rows."""
-        known, free = np.flatnonzero(y >= 0), np.flatnonzero(y < 0)
-        held = linear.folds(len(known), CALIBRATION_FOLDS, seed=4) == 0
-        seen, kept = known[~held], known[held]
-        share = (y[known].sum() + 0.5) / (len(known) + 1)
-        rows, told = [seen, seen], [y[seen], y[seen]]
-        for _ in range(ROUNDS if len(free) else 0):
-            models = [linear.fit(views[v][rows[v]], told[v]) for v in (0, 1)]
-            sure = []
-            for v in (0, 1):
-                p = models[v].probability(views[v][free])
-                n_good = max(1, round(PER_ROUND * share))
-                order = np.argsort(-p, kind="stable")
-                good = [k for k in order[:n_good] if p[k] >= SURE]
-                bad = [k for k in order[::-1][: max(1, PER_ROUND - n_good)] if p[k] <= 1 - SURE]
-                sure.append((np.array(good + bad, np.int64), np.array([1] * len(good) + [0] * len(bad))))
+    def fit(cls, views: list[np.ndarray], y: np.ndarray, search: Callable[[list[linear.Logistic], int], list[Found]]) -> CoTrained:
+        """``views`` and ``y`` of labelled rows. ``search(models, n_good)`` gives for each view the
+        unlabelled documents it is surest of, and their labels; it finds a document in one round only."""
+        held = linear.folds(len(y), CALIBRATION_FOLDS, seed=4) == 0
+        seen, kept = np.flatnonzero(~held), np.flatnonzero(held)
+        share = (y.sum() + 0.5) / (len(y) + 1)
+        rows, told = [x[seen] for x in views], [y[seen], y[seen]]
+        for _ in range(ROUNDS):
+            models = [linear.fit(rows[v], told[v]) for v in (0, 1)]
+            sure = search(models, max(1, round(PER_ROUND * share)))
             for v in (0, 1):  # each learns what the other is sure of
-                which, label = sure[1 - v]
-                rows[v], told[v] = np.concatenate([rows[v], free[which]]), np.concatenate([told[v], label])
-            used = np.unique(np.concatenate([sure[0][0], sure[1][0]]))
-            free = np.delete(free, used)
-            if not len(used) or not len(free):
+                found, label = sure[1 - v]
+                rows[v], told[v] = np.concatenate([rows[v], found[v]]), np.concatenate([told[v], label])
+            if not sum(len(label) for _, label in sure):
                 break
-        models = [linear.fit(views[v][rows[v]], told[v]) for v in (0, 1)]
+        models = [linear.fit(rows[v], told[v]) for v in (0, 1)]
         scales = [linear.calibrate(models[v].logit(views[v][kept]), y[kept]) for v in (0, 1)]
         return cls(models, scales, float(np.log(share / (1 - share))))
 
@@ -145,21 +142,89 @@ class CoTrained:
 _NEEDED = ("doc_id", "text", "lang", "source", "n_chars")
 
 
-def learn(docs: DataFrame, labels: DataFrame, label: str = "quality") -> CoTrained:
-    """Both classifiers from ``docs (doc_id, text, lang, source, n_chars)`` and ``labels (doc_id, label)``."""
-    rows = sample(docs.select(*_NEEDED), labels, label)
+def _features(rows: DataFrame, *names: str) -> tuple[pa.Table, list[np.ndarray]]:
+    """The columns ``names`` (long) of ``rows``, which are few, in order, and both views of each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, content, metadata in _views(batch):
                 packed = [pa.array([r.tobytes() for r in x], pa.binary()) for x in (content, metadata)]
-                yield pa.RecordBatch.from_arrays([part["doc_id"], part["y"], *packed], ["doc_id", "y", "content", "metadata"])
+                yield pa.RecordBatch.from_arrays([*(part[c] for c in names), *packed], [*names, "content", "metadata"])
 
-    table = rows.mapInArrow(run, "doc_id long, y int, content binary, metadata binary").orderBy("doc_id", "metadata", "content").toArrow()
-    y = table["y"].fill_null(-1).to_numpy()
+    schema = ", ".join([*(f"{c} long" for c in names), "content binary, metadata binary"])
+    table = rows.mapInArrow(run, schema).orderBy(*names, "metadata", "content").toArrow()
     widths = (1 << CONTENT_BITS, _META)
-    views = [np.frombuffer(b"".join(table[c].to_pylist()), np.float32).reshape(len(y), w) for c, w in zip(("content", "metadata"), widths)]
-    return CoTrained.fit(views, y)
+    return table, [np.frombuffer(b"".join(table[c].to_pylist()), np.float32).reshape(table.num_rows, w) for c, w in zip(("content", "metadata"), widths)]
+
+
+class Search:
+    """The surest of all unlabelled documents, each found in one round only.
+
+    A document is an id, as its row of the least hash, or a row without an id. Of a round's
+    table of logits, the surest of each view and class are taken by a distributed top-k.
+    """
+
+    def __init__(self, docs: DataFrame, labelled: DataFrame):
+        columns = [c for c in _NEEDED if c != "doc_id"]
+        self._docs = docs.select(F.col("doc_id").cast("long"), *columns, F.xxhash64(*columns).alias("tie"))
+        self._labelled, self._used = labelled, []
+
+    def logits(self, models: list[linear.Logistic]) -> DataFrame:
+        """``doc_id, tie`` and the logits ``v0, v1`` of every unlabelled document."""
+        shared = self._docs.sparkSession.sparkContext.broadcast(models)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for part, *views in _views(batch):
+                    found = [pa.array(np.round(m.logit(x), 6)) for m, x in zip(shared.value, views)]
+                    yield pa.RecordBatch.from_arrays([part["doc_id"], part["tie"], *found], ["doc_id", "tie", "v0", "v1"])
+
+        rows = self._docs.mapInArrow(run, "doc_id long, tie long, v0 double, v1 double")
+        own = F.when(F.col("doc_id").isNull(), F.col("tie")).alias("own")
+        one = rows.groupBy("doc_id", own).agg(F.min("tie").alias("tie"), F.min_by("v0", "tie").alias("v0"), F.min_by("v1", "tie").alias("v1")).drop("own")
+        return one.join(self._labelled.select("doc_id"), "doc_id", "left_anti")
+
+    def __call__(self, models: list[linear.Logistic], n_good: int) -> list[Found]:
+        spark, least = self._docs.sparkSession, float(np.log(SURE / (1 - SURE)))
+        table = work.written(self.logits(models).where(F.greatest(F.abs("v0"), F.abs("v1")) >= least), "cotraining-logits")
+        if self._used:
+            used = spark.createDataFrame(self._used, "u_doc long, u_tie long")  # at most ROUNDS times those of a round
+            table = table.join(F.broadcast(used), F.col("doc_id").eqNullSafe(F.col("u_doc")) & (F.col("tie") == F.col("u_tie")), "left_anti")
+        parts = []
+        for v in (0, 1):
+            for label, sign, n in ((1, 1, n_good), (0, -1, max(1, PER_ROUND - n_good))):
+                sure = F.col(f"v{v}") * sign
+                best = table.where(sure >= least).orderBy(sure.desc(), "tie", "doc_id").limit(n)
+                parts.append(best.select("doc_id", "tie", F.lit(v).alias("view"), F.lit(label).alias("label")))
+        chosen = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3]).collect()
+        keys = sorted({(r.doc_id, r.tie) for r in chosen}, key=lambda k: (k[0] is None, k))
+        self._used += keys
+        place, views = self._rows(keys)
+        out = []
+        for v in (0, 1):
+            own = sorted((-r.label, place[r.doc_id, r.tie]) for r in chosen if r.view == v)
+            at = np.array([k for _, k in own], np.int64)
+            out.append(([x[at] for x in views], np.array([-label for label, _ in own], np.int64)))
+        return out
+
+    def _rows(self, keys: list[tuple[int | None, int]]) -> tuple[dict[tuple[int | None, int], int], list[np.ndarray]]:
+        """The views of the documents ``keys``, and the place of each."""
+        if not keys:
+            return {}, [np.zeros((0, 1 << CONTENT_BITS), np.float32), np.zeros((0, _META), np.float32)]
+        wanted = self._docs.sparkSession.createDataFrame(keys, "k_doc long, k_tie long")
+        rows = self._docs.join(F.broadcast(wanted), F.col("doc_id").eqNullSafe(F.col("k_doc")) & (F.col("tie") == F.col("k_tie")), "left_semi")
+        columns = [c for c in _NEEDED if c != "doc_id"]
+        one = rows.groupBy("doc_id", "tie").agg(*(F.first(c).alias(c) for c in columns))  # equal rows
+        table, views = _features(one, "doc_id", "tie")
+        return {(d, t): k for k, (d, t) in enumerate(zip(table["doc_id"].to_pylist(), table["tie"].to_pylist()))}, views
+
+
+def learn(docs: DataFrame, labels: DataFrame, label: str = "quality") -> CoTrained:
+    """Both classifiers from ``docs (doc_id, text, lang, source, n_chars)`` and ``labels (doc_id, label)``."""
+    docs = docs.select(*_NEEDED)
+    table, views = _features(sample(docs, labels, label).withColumn("y", F.col("y").cast("long")), "doc_id", "y")
+    y = table["y"].to_numpy().astype(np.int64)
+    return CoTrained.fit(views, y, Search(docs, _labels(labels, label)))
 
 
 def score(docs: DataFrame, model: CoTrained) -> DataFrame:
