@@ -155,7 +155,8 @@ def learn(docs: DataFrame, labels: DataFrame, seeds: dict[str, tuple[str, ...]]
                 yield pa.RecordBatch.from_arrays([*(part[c] for c in part.schema.names), pa.array([r.tobytes() for r in x], pa.binary())], [*part.schema.names, "x"])
 
     told = [(F.col("y") == 1) & F.lower("text").rlike(r"\b(" + "|".join(terms) + r")\b") for terms in seeds.values()]
-    named = rows.select("doc_id", "text", "y", *(t.cast("int").alias(f"y_{k}") for k, t in enumerate(told)))
+    # a null text has no such word
+    named = rows.select("doc_id", "text", "y", *(F.coalesce(t, F.lit(False)).cast("int").alias(f"y_{k}") for k, t in enumerate(told)))
     schema = "doc_id long, text string, y int, " + "".join(f"y_{k} int, " for k in range(len(told))) + "x binary"
     table = named.mapInArrow(run, schema).drop("text").orderBy("doc_id", "x").toArrow()
     x = np.frombuffer(b"".join(table["x"].to_pylist()), np.float32).reshape(table.num_rows, 2 * len(features))
