@@ -4,7 +4,9 @@ For each language, a suffix automaton of labelled text knows all its substrings.
 is parsed into phrases: each is the longest match that the automaton can read on from the
 phrase's first letter. Text of the automaton's language has long matches, so few phrases.
 With ``n`` letters of reference text, ``phrases * log2(n) / letters`` estimates the bits
-per letter (Ziv and Merhav's cross-parsing); the language that needs fewest wins.
+per letter (Ziv and Merhav's cross-parsing); the language that needs fewest wins. A letter
+that the reference lacks cannot be read from it and costs its number in the alphabet of all
+languages besides, so a reference of a few letters is not cheap for texts it cannot spell.
 
 Parsing runs in numpy on many pieces of texts at once, one letter a step: the automata are
 tables in which a failed match already leads to the state after the first letter of the
@@ -92,8 +94,9 @@ class Automata:
         table = np.concatenate(tables).ravel() if tables else np.empty(0)
         return cls(languages, alphabet, width, table.astype(kind), np.array(roots, kind), np.array(bits))
 
-    def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(phrases by text and language, letters and gaps of each text, whether it has a letter)."""
+    def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(phrases by text and language, letters and gaps of each text, whether it has a letter,
+        letters and gaps by text and language that the reference lacks)."""
         codes, at = _codes(texts, self.alphabet)
         size = np.diff(at)
         n_lanes = -(-size // LANE)
@@ -108,7 +111,13 @@ class Automata:
         out = np.zeros((len(texts), len(self.languages)), np.int64)
         np.add.at(out, text, counts)
         letters = np.concatenate([[0], np.cumsum(codes != _GAP)])
-        return out, size, letters[at[1:]] > letters[at[:-1]]
+        return out, size, letters[at[1:]] > letters[at[:-1]], self._lacking(codes, at)
+
+    def _lacking(self, codes: np.ndarray, at: np.ndarray) -> np.ndarray:
+        lacks = np.array([self.table[r : r + self.width] & 1 for r in self.roots], bool)
+        odd = np.flatnonzero(lacks.any(axis=0)[codes])  # most letters are in all references
+        text, code = np.searchsorted(at, odd, "right") - 1, codes[odd]
+        return np.column_stack([np.bincount(text[own[code]], minlength=len(at) - 1) for own in lacks])
 
     def _parse(self, codes: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
         """Phrases of lanes, which come with falling lengths."""
@@ -126,8 +135,8 @@ class Automata:
         """(language, probability of it among all, bits per letter) of each text."""
         if not self.languages:
             return [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
-        phrases, size, lettered = self.phrases([t or "" for t in texts])
-        bits = phrases * self.bits
+        phrases, size, lettered, lacking = self.phrases([t or "" for t in texts])
+        bits = phrases * self.bits + lacking * np.log2(self.width)
         best = np.argmin(bits, axis=1)
         with np.errstate(under="ignore"):
             score = 1 / np.exp2(np.maximum(bits.min(axis=1, keepdims=True) - bits, -1000)).sum(axis=1)
