@@ -96,9 +96,12 @@ def _labels(labels: DataFrame, label: str) -> DataFrame:
 
 
 def sample(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
-    """A bounded sample of the labelled ``docs`` with ``y``."""
+    """A bounded sample of the labelled ``docs`` with ``y``: of each chosen id the row of the least hash."""
     chosen = _labels(labels, label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABELLED)
-    return docs.join(F.broadcast(chosen), "doc_id")  # at most LABELLED pairs of numbers
+    rows = docs.join(F.broadcast(chosen), "doc_id")  # at most LABELLED pairs of numbers
+    columns = [c for c in docs.columns if c != "doc_id"]
+    one = rows.groupBy("doc_id", "y").agg(F.min_by(F.struct(*columns), F.xxhash64(*columns)).alias("row"))
+    return one.select("doc_id", "row.*", "y")
 
 
 #: Of one view and label: the features of documents in both views.

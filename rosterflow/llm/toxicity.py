@@ -69,13 +69,15 @@ def sample(docs: DataFrame, labels: DataFrame, label: str = LAST) -> DataFrame:
     """``text`` and ``label`` (0 or 1) of a bounded number of labelled documents of each class.
 
     The label of an id that is labelled twice is the more frequent one, 1 if even. Null
-    ids and labels are left out.
+    ids and labels are left out. Of an id's rows it has that of the least hash.
     """
     one = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy("doc_id").agg((F.avg(F.col(label).cast("double")) >= 0.5).cast("int").alias("y"))
     key = F.xxhash64("doc_id")
     chosen = one.where("y = 1").orderBy(key, "doc_id").limit(MOST_POSITIVE).unionByName(one.where("y = 0").orderBy(key, "doc_id").limit(MOST_NEGATIVE))
     # at most MOST_POSITIVE + MOST_NEGATIVE pairs of numbers
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y")
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    one = rows.groupBy("doc_id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    return one.select("doc_id", "text", "y")
 
 
 def choose_features(rows: DataFrame, n: int = N_FEATURES) -> np.ndarray:
