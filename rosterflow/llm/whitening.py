@@ -77,6 +77,8 @@ class Whitening:
         pairs = [divmod(s, self.n) for s in self.sums] if self.n else []
         self.quotient = np.array([q for q, _ in pairs], np.int64)
         self.remainder = np.array([r for _, r in pairs], np.int64)
+        if not self.axes.size:
+            self.axes = np.empty((0, self.length))
 
     def centred(self, x: np.ndarray) -> np.ndarray:
         """``x - sums / n``; the whole part is subtracted exactly."""
