@@ -45,7 +45,7 @@ def text_failures(text: Column) -> Column:
 
 def copies(docs: DataFrame, hashed: DataFrame) -> DataFrame:
     """The rows of ``docs (doc_id, hash, text, ...)`` whose text a smaller ``doc_id`` has too; ``hashed`` holds all ``(doc_id, hash)``."""
-    shared = hashed.groupBy("hash").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("hash")
+    shared = hashed.groupBy("hash").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("hash").hint("merge")  # the same join at every size
     some = work.written(docs.join(shared, "hash", "left_semi"), "suspected-copies")
     first = some.groupBy("hash", "text").agg(F.min("doc_id").alias("first"))
     a, b = some.alias("a"), first.alias("b")
