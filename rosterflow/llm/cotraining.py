@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from rosterflow.llm import linear, words, work
 
@@ -233,22 +234,22 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality") -> CoTrain
 def score(docs: DataFrame, model: CoTrained) -> DataFrame:
     """``docs`` with ``content_score, metadata_score, quality_score`` (0 to 1) and ``good``.
 
-    Null texts count as empty; null metadata has a slot of its own. Without labels, or
-    with labels of one class, all rows get the labels' smoothed share. Columns of ``docs``
-    that bear a name of the results are replaced. Rows are scored one by one.
+    Null texts count as empty; null metadata has a slot of its own; texts of any length are
+    read whole. Without labels, or with labels of one class, all rows get the labels'
+    smoothed share. Columns of ``docs`` that bear a name of the results, in any case, are
+    replaced. Rows are scored one by one.
     """
-    results = ("content_score", "metadata_score", "quality_score", "good")
-    others = [f for f in docs.schema.fields if f.name not in results]
+    results = ["content_score", "metadata_score", "quality_score", "good"]
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part, *views in _views(batch):
-                p = shared.value.score(views)
-                yield pa.RecordBatch.from_arrays([*part.columns, *(pa.array(c) for c in p.T), pa.array(p[:, 2] >= GOOD)], [*part.schema.names, *results])
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Table]:
+        for rows in batches:
+            parts = [shared.value.score(views) for _, *views in _views(pa.RecordBatch.from_struct_array(rows))]
+            p = np.concatenate([np.empty((0, 3)), *parts])
+            yield pa.table([*(pa.array(c) for c in p.T), pa.array(p[:, 2] >= GOOD)], results)
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in others), *(f"{r} double" for r in results[:3]), "good boolean"])
-    return docs.select(*(F.col(f"`{f.name}`") for f in others)).mapInArrow(run, schema)
+    fields = StructType.fromDDL(", ".join([*(f"{r} double" for r in results[:3]), "good boolean"]))
+    return work.with_fields(docs, work.of_text(run, fields)(F.struct("text", "source", "lang", "n_chars")), results)
 
 
 def op4_co_training(spark, sf_dir: str) -> DataFrame:

@@ -18,15 +18,16 @@ slower a letter.
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from rosterflow.llm import words
+from rosterflow.llm import words, work
 
 #: The bound of the labelled sample: so many documents of each language (by hash of their
 #: id), and so many letters of each document and of each language.
@@ -184,7 +185,8 @@ def is_held_out(folds: int = 5):
 def learn(labelled: DataFrame) -> Automata:
     """Automata from ``labelled (doc_id, text, lang)``: a sample of bounded size of each language.
 
-    Rows with a null language or text, or without a letter, are not learnt from. The sample
+    Rows with a null language or text, or without a letter, are not learnt from; nor are rows
+    with a null ``doc_id`` in the registered query, as they are in no fold. The sample
     is the documents with the least hashes; ranks are limited before each shuffle, first
     in 64 parts of a language, so one that holds most rows is no single task. It is taken
     around each document's middle.
@@ -202,28 +204,35 @@ def learn(labelled: DataFrame) -> Automata:
     return Automata.of({language: " ".join(texts)[:SAMPLE_LETTERS] for language, texts in samples.items()})
 
 
+RESULTS = ["lang_pred", "score", "bits"]
+
+
+def recognised(spark: SparkSession, automata: Automata) -> Callable[[Column], Column]:
+    """A function of a text column to a struct of ``RESULTS``."""
+    shared = spark.sparkContext.broadcast(automata)
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Table]:
+        model = shared.value
+        for texts in batches:
+            told: list[list] = [[], [], []]
+            for i, j in words.runs(words.utf8(texts)[1]):
+                for column, values in zip(told, model.identify(texts.slice(i, j - i).to_pylist())):
+                    column.extend(values)
+            yield pa.table([pa.array(c, t) for c, t in zip(told, (pa.string(), pa.float64(), pa.float64()))], RESULTS)
+
+    return work.of_text(run, StructType.fromDDL("lang_pred string, score double, bits double"))
+
+
 def predict(docs: DataFrame, automata: Automata) -> DataFrame:
     """``docs`` with ``lang_pred, score, bits``: the language, its probability among the learnt
     ones (0 to 1), and the bits per letter of its parse.
 
     A null text, or one without a letter, is ``und`` with score and bits 0; so is every text
-    if no language was learnt. Equal parses go to the first name. Columns of ``docs`` that
-    bear a name of the results are replaced. Rows are judged one by one.
+    if no language was learnt. Texts of any length are parsed whole. Equal parses go to the
+    first name. Columns of ``docs`` that bear a name of the results, in any case, are
+    replaced. Rows are judged one by one.
     """
-    results = ("lang_pred", "score", "bits")
-    others = [f for f in docs.schema.fields if f.name not in results]
-    shared = docs.sparkSession.sparkContext.broadcast(automata)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        for batch in batches:
-            for i, j in words.runs(words.utf8(batch["text"])[1]):
-                part = batch.slice(i, j - i)
-                names, score, bits = model.identify(part["text"].to_pylist())
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(names, pa.string()), pa.array(score), pa.array(bits)], [*part.schema.names, *results])
-
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in others), "lang_pred string, score double, bits double"])
-    return docs.select(*(F.col(f"`{f.name}`") for f in others)).mapInArrow(run, schema)
+    return work.with_fields(docs, recognised(docs.sparkSession, automata)(F.col("text")), RESULTS)
 
 
 def op1_cross_parsing(spark, sf_dir: str) -> DataFrame:

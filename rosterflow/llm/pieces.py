@@ -22,8 +22,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from rosterflow.llm import words
+from rosterflow.llm import words, work
 from rosterflow.llm.segments import SegmentCache
 
 MARKER = 0xFF
@@ -283,55 +284,49 @@ class Encoder:
         return raw[keep], ends - np.cumsum(fewer)
 
 
-def _named(docs: DataFrame, results: tuple[str, ...]) -> tuple[DataFrame, str]:
-    others = [f for f in docs.schema.fields if f.name not in results]
-    return docs.select(*(F.col(f"`{f.name}`") for f in others)), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in others)
-
-
 def encode(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with ``ids`` (array of int) of ``text``.
 
-    An empty text has no ids, a null text null. A column ``ids`` of ``docs`` is replaced.
-    Rows are encoded one by one.
+    An empty text has no ids, a null text null; texts of any length are encoded whole. A
+    column ``ids`` of ``docs``, in any case, is replaced. Rows are encoded one by one.
     """
-    rows, schema = _named(docs, ("ids",))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Table]:
         encoder = Encoder(shared.value)
-        for batch in batches:
-            raw, at = words.utf8(batch["text"])
+        for texts in batches:
+            raw, at = words.utf8(texts)
+            lists = [pa.array([], pa.list_(pa.int32()))]
             for i, j in words.runs(at, RUN_BYTES):
                 ids, first = encoder.encode(raw[at[i] : at[j]], at[i : j + 1] - at[i])
-                part = batch.slice(i, j - i)
-                lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(ids), mask=part["text"].is_null())
-                yield pa.RecordBatch.from_arrays([*part.columns, lists], [*part.schema.names, "ids"])
+                lists.append(pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(ids, pa.int32()), mask=texts.slice(i, j - i).is_null()))
+            yield pa.table({"ids": pa.concat_arrays(lists)})
 
-    return rows.mapInArrow(run, f"{schema}, ids array<int>")
+    return work.with_fields(docs, work.of_text(run, StructType.fromDDL("ids array<int>"))(F.col("text")), ["ids"])
 
 
 def decode(rows: DataFrame, model: Model) -> DataFrame:
     """``rows`` with ``decoded``, the text of ``ids``; null ids give null.
 
     Bytes that are no UTF-8 become U+FFFD, control ids nothing and the unknown id ``' ⁇ '``.
+    A column ``decoded`` of ``rows``, in any case, is replaced.
     """
-    rows, schema = _named(rows, ("decoded",))
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Table]:
         encoder = Encoder(shared.value)
-        for batch in batches:
-            for k in range(0, batch.num_rows, 1000):
-                part = batch.slice(k, 1000)
-                lists = part["ids"]
+        for given in batches:
+            texts: list[str | None] = []
+            for k in range(0, len(given), 1000):
+                lists = given.slice(k, 1000)
                 size = np.array([0 if n is None else n for n in pc.list_value_length(lists).to_pylist()], np.int64)
                 raw, at = encoder.decode(lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(size)]))
                 data = raw.tobytes()
                 spans = zip(lists.is_valid().to_pylist(), at[:-1].tolist(), at[1:].tolist())
-                texts = [data[i:j].decode("utf-8", "replace") if there else None for there, i, j in spans]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*part.schema.names, "decoded"])
+                texts += [data[i:j].decode("utf-8", "replace") if there else None for there, i, j in spans]
+            yield pa.table({"decoded": pa.array(texts, pa.string())})
 
-    return rows.mapInArrow(run, f"{schema}, decoded string")
+    return work.with_fields(rows, work.of_text(run, StructType.fromDDL("decoded string"))(F.col("ids")), ["decoded"])
 
 
 def tokenizer_path(name: str = "piece_bpe_32k.model") -> str:

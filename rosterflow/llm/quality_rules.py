@@ -8,12 +8,15 @@ inside lines that equal an earlier line.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from rosterflow.llm import words
+from rosterflow.llm import words, work
 
 MIN_WORDS = 10
 BASE_LENGTH = 5
@@ -109,32 +112,40 @@ def _lines(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts[starts < ends], ends[starts < ends]
 
 
+def measured(text: Column) -> Column:
+    """A struct of the measures of ``text``."""
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Table]:
+        for texts in batches:
+            yield measure(texts)
+
+    return work.of_text(run, StructType.fromDDL(DDL))(text)
+
+
+def verdicts(of: str = "") -> tuple[Column, Column]:
+    """``base_failed`` and ``kept`` from columns, or fields of the struct ``of``, that bear the measures' names."""
+    m = {name: F.col(f"{of}.{name}" if of else name) for name in MEASURES.names}
+    base = (m["n_words"] < MIN_WORDS) | (100 * m["n_repeat_words"] > BASE_PERCENT * m["n_words"])
+    over = m["dup_line_chars"] > MAX_LINE_SHARE * m["word_chars"]
+    for n, share in MAX_SHARE.items():
+        over = over | (m[f"dup_{n}gram_chars"] > share * m["word_chars"])
+    return base, ~(base | over)
+
+
 def judge(docs: DataFrame) -> DataFrame:
     """``docs`` with the measures, ``base_failed`` and ``kept``.
 
     ``kept`` is false where the base rule fails, where a length of ``MAX_SHARE`` covers
     more than its share of the word characters, or where repeated lines hold more than
-    ``MAX_LINE_SHARE``. A null, empty or blank text has no words and fails the base rule.
-    Columns of ``docs`` that bear a name of the results are replaced. Rows are judged one
-    by one, so repeated rows get equal results and an empty table gives none.
+    ``MAX_LINE_SHARE``. A null, empty or blank text has no words and fails the base rule; a
+    text of any length is read whole. Columns of ``docs`` that bear a name of the results, in
+    any case, are replaced. Rows are judged one by one, so repeated rows get equal results
+    and an empty table gives none.
     """
-    results = {*MEASURES.names, "base_failed", "kept"}
-    others = [f for f in docs.schema.fields if f.name not in results]
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in others), DDL])
-
-    def run(batches):
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            measures = measure(table["text"])
-            whole = pa.table([*table.columns, *measures.columns], names=[*table.column_names, *measures.column_names])
-            yield from whole.combine_chunks().to_batches()
-
-    base = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > BASE_PERCENT * F.col("n_words"))
-    over = F.col("dup_line_chars") > MAX_LINE_SHARE * F.col("word_chars")
-    for n, share in MAX_SHARE.items():
-        over = over | (F.col(f"dup_{n}gram_chars") > share * F.col("word_chars"))
-    measured = docs.select(*(F.col(f"`{f.name}`") for f in others)).mapInArrow(run, schema)
-    return measured.withColumn("base_failed", base).withColumn("kept", ~(base | over))
+    results = {"base_failed", "kept"}
+    others = docs.select(*(work.quoted(c) for c in docs.columns if c.lower() not in results))
+    base, kept = verdicts()
+    return work.with_fields(others, measured(F.col("text")), MEASURES.names).select("*", base.alias("base_failed"), kept.alias("kept"))
 
 
 def op6_repetition_rules(spark, sf_dir: str) -> DataFrame:

@@ -8,8 +8,10 @@ import numpy as np
 
 from rosterflow.llm import words
 
-#: Distinct segments whose encodings a task keeps; beyond them it begins anew.
-KEPT = 600_000
+#: Distinct segments whose encodings a task keeps, and their bytes; beyond either it begins anew.
+KEPT, KEPT_BYTES = 600_000, 24_000_000
+#: Longer segments seldom come again; their encodings are not kept.
+LONGEST_KEPT = 256
 
 
 class SegmentCache:
@@ -21,19 +23,30 @@ class SegmentCache:
 
     def _forget(self) -> None:
         self._slot: dict[bytes, int] = {}
+        self._bytes = 0
         self._ids, self._first = np.empty(0, np.int32), np.zeros(1, np.int64)
 
-    def _slots(self, parts: list[bytes]) -> np.ndarray:
-        new = [p for p in parts if p not in self._slot]
+    def _add(self, parts: list[bytes]) -> None:
+        ids, sizes = self._encode(parts)
+        self._slot.update(zip(parts, range(len(self._slot), len(self._slot) + len(parts))))
+        self._bytes += sum(map(len, parts))
+        self._first = np.concatenate([self._first, self._first[-1] + np.cumsum(sizes)])
+        self._ids = np.concatenate([self._ids, ids])
+
+    def _slots(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The place of each part, and the ids of all places with the offsets between them."""
+        if len(self._slot) > self._kept or self._bytes > KEPT_BYTES:
+            self._forget()
+        new = [p for p in parts if len(p) <= LONGEST_KEPT and p not in self._slot]
         if new:
-            if self._slot and len(self._slot) + len(new) > self._kept:
-                self._forget()
-                new = parts
-            ids, sizes = self._encode(new)
-            self._slot.update(zip(new, range(len(self._slot), len(self._slot) + len(new))))
-            self._first = np.concatenate([self._first, self._first[-1] + np.cumsum(sizes)])
-            self._ids = np.concatenate([self._ids, ids])
-        return np.fromiter((self._slot[p] for p in parts), np.int64, len(parts))
+            self._add(new)
+        ids, first, long = self._ids, self._first, {}
+        if any(len(p) > LONGEST_KEPT for p in parts):
+            whole = [p for p in parts if len(p) > LONGEST_KEPT]
+            long = dict(zip(whole, range(len(first) - 1, len(first) - 1 + len(whole))))
+            more, sizes = self._encode(whole)
+            ids, first = np.concatenate([ids, more]), np.concatenate([first, first[-1] + np.cumsum(sizes)])
+        return np.fromiter((long[p] if p in long else self._slot[p] for p in parts), np.int64, len(parts)), ids, first
 
     def __call__(self, raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all segments in a row, and the ``len(start) + 1`` offsets between them."""
@@ -41,7 +54,8 @@ class SegmentCache:
             return np.empty(0, np.int32), np.zeros(1, np.int64)
         _, one, which = np.unique(words.range_hashes(raw, start, end), return_index=True, return_inverse=True)
         whole = raw.tobytes()
-        slot = self._slots([whole[i:j] for i, j in zip(start[one].tolist(), end[one].tolist())])[which]
-        size = self._first[slot + 1] - self._first[slot]
+        slot, ids, first = self._slots([whole[i:j] for i, j in zip(start[one].tolist(), end[one].tolist())])
+        slot = slot[which]
+        size = first[slot + 1] - first[slot]
         total = np.concatenate([[0], np.cumsum(size)])
-        return self._ids[np.arange(total[-1]) + np.repeat(self._first[slot] - total[:-1], size)], total
+        return ids[np.arange(total[-1]) + np.repeat(first[slot] - total[:-1], size)], total

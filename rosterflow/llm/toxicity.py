@@ -7,7 +7,9 @@ text that they have not seen.
 
 Features are whole words and beginnings of words (many languages build insults from a
 stem), hashed. Spark counts in how many toxic and clean documents of the sample each
-occurs; the most telling ones (chi-square) become the columns of the models.
+occurs; the most telling ones (chi-square) become the columns of the models. The categories
+are the columns of the given labels: the model of ``toxic`` sees the probability of
+``quality``.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from rosterflow.llm import linear, words, work
 
@@ -29,11 +32,8 @@ N_FEATURES = 400
 PREFIXES = (4, 5, 6, 7, 8, 10)
 FOLDS = 5
 LEAST = 0.5
-#: Words of insult and of contempt that make a toxic text one of these categories too.
-SEEDS = {
-    "insult": ("idiot", "moron", "clown", "loser", "scum"),
-    "contempt": ("trash", "pathetic", "disgusting", "worthless", "stupid"),
-}
+#: Columns of the labels in the order of the chain; the last decides.
+CATEGORIES = ("quality", "toxic")
 LAST = "toxic"
 
 
@@ -65,19 +65,22 @@ def _matrix(raw: np.ndarray, at: np.ndarray, find: words.Lookup) -> np.ndarray:
     return np.concatenate([counts > 0, rate], axis=1, dtype=np.float32, casting="unsafe")
 
 
-def sample(docs: DataFrame, labels: DataFrame, label: str = LAST) -> DataFrame:
-    """``text`` and ``label`` (0 or 1) of a bounded number of labelled documents of each class.
+def sample(docs: DataFrame, labels: DataFrame, label: str = LAST, earlier: tuple[str, ...] = ()) -> DataFrame:
+    """``text``, ``y`` (``label``, 0 or 1) and ``y_<k>`` (the ``earlier`` labels) of a bounded number of labelled documents of each class.
 
     The label of an id that is labelled twice is the more frequent one, 1 if even. Null
-    ids and labels are left out. Of an id's rows it has that of the least hash.
+    ids and labels are left out; an earlier label that is missing is 0. Of an id's rows it
+    has that of the least hash.
     """
-    one = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy("doc_id").agg((F.avg(F.col(label).cast("double")) >= 0.5).cast("int").alias("y"))
+    mostly = lambda c: F.coalesce(F.avg(F.col(c).cast("double")) >= 0.5, F.lit(False)).cast("int")
+    more = [f"y_{k}" for k in range(len(earlier))]
+    one = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy("doc_id").agg(mostly(label).alias("y"), *(mostly(c).alias(n) for c, n in zip(earlier, more)))
     key = F.xxhash64("doc_id")
     chosen = one.where("y = 1").orderBy(key, "doc_id").limit(MOST_POSITIVE).unionByName(one.where("y = 0").orderBy(key, "doc_id").limit(MOST_NEGATIVE))
-    # at most MOST_POSITIVE + MOST_NEGATIVE pairs of numbers
+    # at most MOST_POSITIVE + MOST_NEGATIVE rows of numbers
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    one = rows.groupBy("doc_id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
-    return one.select("doc_id", "text", "y")
+    one = rows.groupBy("doc_id", "y", *more).agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    return one.select("doc_id", "text", "y", *more)
 
 
 def choose_features(rows: DataFrame, n: int = N_FEATURES) -> np.ndarray:
@@ -136,34 +139,33 @@ class Chain:
         return np.column_stack(out)
 
 
-def _rows(batch: pa.RecordBatch, find: words.Lookup) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
-    raw, at = words.utf8(batch["text"])
+def _matrices(texts: pa.Array, find: words.Lookup) -> Iterator[np.ndarray]:
+    """Features of all texts, some rows at a time."""
+    raw, at = words.utf8(texts)
     for i, j in words.runs(at):
         for k in range(i, j, 500):
             m = min(j, k + 500)
-            yield batch.slice(k, m - k), _matrix(raw[at[k] : at[m]], at[k : m + 1] - at[k], find)
+            yield _matrix(raw[at[k] : at[m]], at[k : m + 1] - at[k], find)
 
 
-def learn(docs: DataFrame, labels: DataFrame, seeds: dict[str, tuple[str, ...]] | None = None) -> Chain:
-    """A chain of the categories of ``seeds`` and, last, the label ``toxic`` itself."""
-    seeds = SEEDS if seeds is None else seeds
-    rows = work.written(sample(docs, labels), "toxicity-sample")  # of bounded size, read three times
+def learn(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...] = CATEGORIES) -> Chain:
+    """A chain of the ``categories`` that ``labels (doc_id, ...)`` has, in this order."""
+    names = [c for c in categories if c in labels.columns]
+    rows = work.written(sample(docs, labels, names[-1], tuple(names[:-1])), "toxicity-sample")  # of bounded size, read three times
     features = choose_features(rows)
+    targets = [*(f"y_{k}" for k in range(len(names) - 1)), "y"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = words.Lookup(features)
         for batch in batches:
-            for part, x in _rows(batch, find):
-                yield pa.RecordBatch.from_arrays([*(part[c] for c in part.schema.names), pa.array([r.tobytes() for r in x], pa.binary())], [*part.schema.names, "x"])
-
-    told = [(F.col("y") == 1) & F.lower("text").rlike(r"\b(" + "|".join(terms) + r")\b") for terms in seeds.values()]
-    # a null text has no such word
-    named = rows.select("doc_id", "text", "y", *(F.coalesce(t, F.lit(False)).cast("int").alias(f"y_{k}") for k, t in enumerate(told)))
-    schema = "doc_id long, text string, y int, " + "".join(f"y_{k} int, " for k in range(len(told))) + "x binary"
-    table = named.mapInArrow(run, schema).drop("text").orderBy("doc_id", "x").toArrow()
+            x = pa.array([r.tobytes() for part in _matrices(batch["text"], find) for r in part], pa.binary())
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in ("doc_id", *targets)), x], ["doc_id", *targets, "x"])
+
+    schema = "doc_id long, " + "".join(f"{c} int, " for c in targets) + "x binary"
+    table = rows.select(F.col("doc_id").cast("long"), "text", *targets).mapInArrow(run, schema).orderBy("doc_id", "x").toArrow()
     x = np.frombuffer(b"".join(table["x"].to_pylist()), np.float32).reshape(table.num_rows, 2 * len(features))
-    y = np.column_stack([table[f"y_{k}"].to_numpy() for k in range(len(told))] + [table["y"].to_numpy()]).astype(float)
-    return Chain.fit([*seeds, LAST], features, x, y)
+    y = np.column_stack([table[c].to_numpy() for c in targets]).astype(float)
+    return Chain.fit(names, features, x, y)
 
 
 def score(docs: DataFrame, chain: Chain) -> DataFrame:
@@ -171,24 +173,23 @@ def score(docs: DataFrame, chain: Chain) -> DataFrame:
 
     ``toxic`` is true where the last probability is ``LEAST`` or more and the text has a
     feature at all: a null, empty or blank text, and any text when no feature was learnt,
-    is not toxic. Columns of ``docs`` that bear a name of the results are replaced. Rows
-    are scored one by one.
+    is not toxic. Texts of any length are read whole. Columns of ``docs`` that bear a name of
+    the results, in any case, are replaced. Rows are scored one by one.
     """
     results = [*(f"p_{name}" for name in chain.names), LAST]
-    others = [f for f in docs.schema.fields if f.name not in results]
     shared = docs.sparkSession.sparkContext.broadcast(chain)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Table]:
         model = shared.value
         find = words.Lookup(model.features)
-        for batch in batches:
-            for part, x in _rows(batch, find):
-                p = model.probabilities(x)
-                toxic = (p[:, -1] >= LEAST) & (x.any(axis=1) if x.shape[1] else False)
-                yield pa.RecordBatch.from_arrays([*part.columns, *(pa.array(c) for c in p.T), pa.array(toxic)], [*part.schema.names, *results])
-
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in others), *(f"{r} double" for r in results[:-1]), f"{LAST} boolean"])
-    return docs.select(*(F.col(f"`{f.name}`") for f in others)).mapInArrow(run, schema)
+        for texts in batches:
+            parts = [(model.probabilities(x), x.any(axis=1) if x.shape[1] else np.zeros(len(x), bool)) for x in _matrices(texts, find)]
+            p = np.concatenate([np.empty((0, len(model.names))), *(p for p, _ in parts)])
+            some = np.concatenate([np.empty(0, bool), *(s for _, s in parts)])
+            yield pa.table([*(pa.array(c) for c in p.T), pa.array((p[:, -1] >= LEAST) & some)], results)
+
+    fields = StructType.fromDDL(", ".join([*(f"`{r}` double" for r in results[:-1]), f"{LAST} boolean"]))
+    return work.with_fields(docs, work.of_text(run, fields)(F.col("text")), results)
 
 
 def op8_classifier_chain(spark, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ from rosterflow.llm import cotraining, decontaminate, jaccard_join, language_id,
 from rosterflow.llm.components import connected_components
 from tests.llm.conftest import prose, rows_of
 
-CLASHING = ("n_words", "kept", "block", "ids", "score", "lang_pred", "toxic", "good", "key", "node", "component", "_row", "n", "decoded")
+CLASHING = ("n_words", "kept", "block", "ids", "score", "lang_pred", "toxic", "good", "key", "node", "component", "_row", "n", "decoded", "_", "a.b", "my col", "made")
 
 
 @pytest.fixture(scope="module")
@@ -251,6 +251,7 @@ def test_co_training(spark, documents, wide, empty, repeated):
 def test_pipeline(spark, tmp_path, documents, items, sql):
     """Every stage against a plain version over what the one before kept."""
     extra = documents.unionByName(documents.where("doc_id = 12")).withColumn("kept", F.lit(7)).withColumn("_id", F.lit("x"))
+    extra = extra.select("*", *(F.lit("mine").alias(c) for c in ("_", "a.b", "my col", "made", "N_WORDS", "Score")))
     folder = str(tmp_path)
     extra.write.parquet(f"{folder}/documents.parquet")
     items.write.parquet(f"{folder}/benchmark.parquet")
