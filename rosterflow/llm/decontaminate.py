@@ -4,8 +4,10 @@ A prefix-filtered set join for containment. An item's *windows* are its runs of
 (an item of fewer words is one window). A document that contains a window contains all its
 shingles, so the necessary prefix of a window, with its shingles ordered by rarity in the
 documents, is a single one: the rarest. Documents join on that shingle alone; the place of
-the shingle gives the one place where the window can lie, which must be inside the text
-(positional and length bounds); all words there are then compared.
+the shingle gives the place where the window can lie, which must be inside the text
+(positional and length bounds). Equal windows are one *kind*, whatever items hold them, and a
+place of a text is looked up among the kinds by one hash, then compared byte by byte: the
+work follows the places where rare shingles occur, not the pairs of places and windows.
 
 Items are worked on in blocks of a bounded number of words, so what a task holds does not
 grow with the benchmark; each block is one pass over the documents to count its shingles
@@ -61,30 +63,67 @@ def segments(items: DataFrame, window: int = WINDOW) -> DataFrame:
     return named.mapInArrow(run, "item string, size int, text string").distinct()
 
 
+def _same_words(a: words.Words, at: np.ndarray, b: words.Words, place: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether the ``size`` words of ``a`` from each ``at`` on are those of ``b`` from ``place`` on, byte by byte."""
+    same = np.ones(len(at), bool)
+    for i in range(0, len(at), 20_000):
+        n = size[i : i + 20_000]
+        window = np.repeat(np.arange(len(n)), n)
+        j = np.arange(len(window)) - np.repeat(np.cumsum(n) - n, n)
+        x, y = at[i : i + 20_000][window] + j, place[i : i + 20_000][window] + j
+        length = a.end[x] - a.start[x]
+        equal = length == b.end[y] - b.start[y]
+        x, y, length, left = x[equal], y[equal], length[equal], np.flatnonzero(equal)
+        char = np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length)
+        other = a.raw[np.repeat(a.start[x], length) + char] != b.raw[np.repeat(b.start[y], length) + char]
+        equal[left[np.repeat(np.arange(len(left)), length)[other]]] = False
+        same[i + window[~equal]] = False
+    return same
+
+
+def _hash_at(hashes: np.ndarray, begins: np.ndarray, n: int) -> np.ndarray:
+    """``words.ngrams`` of ``n`` words at some places only."""
+    out = np.zeros(len(begins), np.uint64)
+    for j, m in enumerate(words.powers(n + 1)[1:]):
+        out += hashes[begins + j] * m
+    return words.mix(out + np.uint64(n))
+
+
 @dataclass
 class Windows:
-    """The windows of one block of items: ``hashes[start:start + size]`` are the words of each."""
+    """The distinct windows of one block of items, by size and hash; equal ones are one *kind*."""
 
-    items: list[str]
-    texts: list[list[bytes]]
+    items: list[str]  # of each segment
+    found: words.Words
     hashes: np.ndarray
-    segment: np.ndarray  # of each window
-    start: np.ndarray
+    start: np.ndarray  # of each kind: its first word, size and hash
     size: np.ndarray
-    offset: np.ndarray  # in its segment
+    full: np.ndarray
+    first: np.ndarray  # of each kind: the place of its first segment in ``segment``
+    segment: np.ndarray
 
     @classmethod
     def of(cls, rows: pa.Table) -> Windows:
         found = _words(rows["text"])
-        sizes = rows["size"].to_numpy().astype(np.int64)
+        hashes, sizes = found.hashes(), rows["size"].to_numpy().astype(np.int64)
         n = np.diff(found.first) - sizes + 1
         segment = np.repeat(np.arange(len(sizes)), n)
-        offset = np.arange(len(segment)) - np.repeat(np.cumsum(n) - n, n)
-        texts = [t.encode().split(b" ") for t in rows["text"].to_pylist()]
-        return cls(rows["item"].to_pylist(), texts, found.hashes(), segment, found.first[segment] + offset, sizes[segment], offset)
+        start = found.first[segment] + np.arange(len(segment)) - np.repeat(np.cumsum(n) - n, n)
+        size = sizes[segment]
+        full = np.zeros(len(start), np.uint64)
+        for s in np.unique(size):
+            full[size == s] = _hash_at(hashes, start[size == s], int(s))
+        order = np.lexsort((start, full, size))
+        start, size, full, segment = start[order], size[order], full[order], segment[order]
+        new = np.ones(len(start), bool)
+        new[1:] = (size[1:] != size[:-1]) | (full[1:] != full[:-1])
+        leader = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+        new |= ~_same_words(found, start, found, start[leader], size)  # a hash that two texts share
+        first = np.flatnonzero(new)
+        return cls(rows["item"].to_pylist(), found, hashes, start[first], size[first], full[first], np.append(first, len(start)), segment)
 
     def shingles(self, width: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(length, windows, their shingles as rows) for each length of shingle."""
+        """(length, kinds, their shingles as rows) for each length of shingle."""
         for s in range(1, width + 1):
             own = np.flatnonzero(self.size >= width if s == width else self.size == s)
             grams = words.ngrams(self.hashes, s)
@@ -92,6 +131,25 @@ class Windows:
                 some = own[self.size[own] == size]
                 yield s, some, grams[self.start[some][:, None] + np.arange(size - s + 1)]
 
+    def at(self, hashes: np.ndarray, begins: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(kind, place) of each window of a text that has the hash of a kind; each is looked at once."""
+        kinds, places = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for s in np.unique(size):
+            own = np.unique(begins[size == s])
+            value = _hash_at(hashes, own, int(s))
+            low, high = np.searchsorted(self.size, [s, s + 1])
+            left, right = (low + np.searchsorted(self.full[low:high], value, side) for side in ("left", "right"))
+            for k in range(int((right - left).max(initial=0))):
+                hit = left + k < right
+                kinds.append((left + k)[hit])
+                places.append(own[hit])
+        return np.concatenate(kinds), np.concatenate(places)
+
+    def items_of(self, kinds: np.ndarray) -> list[str]:
+        """The items that hold any of the kinds, sorted."""
+        own = [self.segment[self.first[k] : self.first[k + 1]] for k in np.unique(kinds)]
+        return sorted({self.items[s] for s in np.unique(np.concatenate([np.empty(0, np.int64), *own]))})
+
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, words.Words]]:
     for batch in batches:
@@ -122,14 +180,17 @@ def _rarity(spark: SparkSession, docs: DataFrame, keys: np.ndarray, lengths: lis
 
 
 def _prefixes(windows: Windows, width: int, keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The rarest shingle of each window and its place there, sorted by shingle: (shingles, windows, places)."""
+    """The rarest shingles of all kinds, each with the places where it stands in kinds and their sizes: (shingles, places, sizes)."""
     best, place = np.empty(len(windows.start), np.uint64), np.empty(len(windows.start), np.int64)
     for _, some, grams in windows.shingles(width):
         at = np.searchsorted(keys, grams)
         column = np.argmin(counts[at] * len(keys) + at if len(keys) < 2**31 else counts[at], axis=1)
         best[some], place[some] = grams[np.arange(len(some)), column], column
-    order = np.argsort(best, kind="stable")
-    return best[order], order, place[order]
+    order = np.lexsort((windows.size, place, best))
+    best, place, size = best[order], place[order], windows.size[order]
+    new = np.ones(len(best), bool)
+    new[1:] = (best[1:] != best[:-1]) | (place[1:] != place[:-1]) | (size[1:] != size[:-1])
+    return best[new], place[new], size[new]
 
 
 def _join(spark: SparkSession, docs: DataFrame, windows: Windows, prefixes, lengths: list[int], first: bool) -> DataFrame:
@@ -137,7 +198,7 @@ def _join(spark: SparkSession, docs: DataFrame, windows: Windows, prefixes, leng
     shared = spark.sparkContext.broadcast((windows, prefixes))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        win, (keys, order, place) = shared.value
+        win, (keys, place, size) = shared.value
         uniq, begin = np.unique(keys, return_index=True)
         count = np.diff(begin, append=len(keys))
         find = words.Lookup(uniq)
@@ -150,48 +211,36 @@ def _join(spark: SparkSession, docs: DataFrame, windows: Windows, prefixes, leng
                 at.append(starts[which])
                 key.append(k)
             at, key = np.concatenate(at), np.concatenate(key)
-            hits: list[tuple[np.ndarray, np.ndarray]] = []
-            for i in range(0, len(at), 50_000):  # a frequent prefix may stand for many windows
+            kinds, begins = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+            for i in range(0, len(at), 50_000):  # a prefix stands at no more places than a window has words
                 a, k = at[i : i + 50_000], key[i : i + 50_000]
                 n = count[k]
-                each = np.repeat(np.cumsum(n) - n, n)
-                entry = np.repeat(begin[k], n) + np.arange(int(n.sum())) - each
-                w, begins = order[entry], np.repeat(a, n) - place[entry]
-                text = np.repeat(found.text[a], n)
-                fits = (begins >= found.first[text]) & (begins + win.size[w] <= found.first[text + 1])
-                w, begins = w[fits], begins[fits]
-                for j in range(int(win.size[w].max()) if len(w) else 0):
-                    inside = j < win.size[w]
-                    same = ~inside
-                    same[inside] = hashes[begins[inside] + j] == win.hashes[win.start[w[inside]] + j]
-                    w, begins = w[same], begins[same]
-                hits.append((w, begins))
-            w, begins = (np.concatenate(c) for c in zip(*hits)) if hits else (np.empty(0, np.int64), np.empty(0, np.int64))
-            exact = np.fromiter((_same(win, found, x, b) for x, b in zip(w, begins)), bool, len(w))
-            yield from _spans(batch, found, win, w[exact], begins[exact], first)
+                entry = np.repeat(begin[k], n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+                b, text = np.repeat(a, n) - place[entry], np.repeat(found.text[a], n)
+                fits = (b >= found.first[text]) & (b + size[entry] <= found.first[text + 1])
+                kind, b = win.at(hashes, b[fits], size[entry][fits])
+                exact = _same_words(found, b, win.found, win.start[kind], win.size[kind])
+                kinds.append(kind[exact])
+                begins.append(b[exact])
+            yield from _spans(batch, found, win, np.concatenate(kinds), np.concatenate(begins), first)
 
     keyed = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_key"))
     return keyed.mapInArrow(run, SPANS)
 
 
-def _same(win: Windows, found: words.Words, w: int, begin: int) -> bool:
-    text, at = win.texts[win.segment[w]], int(win.offset[w])
-    return all(found.raw[found.start[begin + j] : found.end[begin + j]].tobytes() == text[at + j] for j in range(int(win.size[w])))
-
-
-def _spans(batch, found: words.Words, win: Windows, w: np.ndarray, begins: np.ndarray, first: bool) -> Iterator[pa.RecordBatch]:
+def _spans(batch, found: words.Words, win: Windows, kinds: np.ndarray, begins: np.ndarray, first: bool) -> Iterator[pa.RecordBatch]:
     order = np.argsort(begins, kind="stable")
-    w, begins = w[order], begins[order]
+    kinds, begins = kinds[order], begins[order]
     cut = np.searchsorted(begins, found.first)
     columns: dict[str, list] = {name: [] for name in ("at", "begins", "ends", "items")}
     for k in range(batch.num_rows) if first else np.flatnonzero(np.diff(cut)):
+        own = kinds[cut[k] : cut[k + 1]]
         b = begins[cut[k] : cut[k + 1]] - found.first[k]
-        e = b + win.size[w[cut[k] : cut[k + 1]]]
-        b, e = merged(b, e)
+        b, e = merged(b, b + win.size[own])
         columns["at"].append(k)
         columns["begins"].append(b)
         columns["ends"].append(e)
-        columns["items"].append(sorted({win.items[s] for s in win.segment[w[cut[k] : cut[k + 1]]]}))
+        columns["items"].append(win.items_of(own))
     rows = batch.take(pa.array(columns["at"], pa.int64()))
     n_words = np.diff(found.first)[np.array(columns["at"], np.int64)]
     yield pa.RecordBatch.from_arrays(
