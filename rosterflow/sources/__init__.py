@@ -1,6 +1,7 @@
 """Inputs: extract folders, directories, the course registry and landed rosters."""
 
-from rosterflow.sources.extracts import Extracts, list_extracts, normalise_headers, read_extracts
+from rosterflow.sources.extracts import Extracts, list_extracts, normalise_headers, read_extracts, read_files
+from rosterflow.sources.landing import Landing, land_new, read_rejected, read_rows
 from rosterflow.sources.tables import (
     ingest_students,
     ingest_teachers,
@@ -18,8 +19,10 @@ from rosterflow.sources.tables import (
 
 __all__ = [
     "Extracts",
+    "Landing",
     "ingest_students",
     "ingest_teachers",
+    "land_new",
     "list_extracts",
     "normalise_headers",
     "prune_to_terms",
@@ -27,9 +30,12 @@ __all__ = [
     "read_coordinators",
     "read_courses",
     "read_extracts",
+    "read_files",
     "read_landed",
     "read_links",
     "read_registry",
+    "read_rejected",
+    "read_rows",
     "read_students",
     "read_teachers",
     "read_users",
