@@ -263,6 +263,8 @@ def _counts(commands: str) -> str:
 _EXTRACT_COLUMNS = f"""term, section, crosslist, {_roster_id("student_id")} AS student_id, doc_type, doc_no, email,
   {_title("first_name")} AS first_name, {_title("last_name")} AS last_name, enrol_code, status, paid,
   {_trim("partner")} AS partner, {_stamp()} AS activity_at"""
+_TEACHER_FILES = f"""SELECT term, section, crosslist, teacher_id, doc_type, doc_no, email,
+  {_title("first_name")} AS first_name, {_title("last_name")} AS last_name, {_stamp()} AS activity_at FROM teachers"""
 _CANDIDATES = """(SELECT unnest([short_name, short_name || '-x', replace(short_name, '-', ''), right(short_name, 14)]) AS candidate
   FROM fx_courses)"""
 _MISSING = "doc_no IS NULL OR email IS NULL OR first_name IS NULL OR last_name IS NULL"
@@ -283,6 +285,26 @@ _QUERIES = {
     "scan_coordinators": """SELECT cost_centre, coordinator_id, coordinator_name, coordinator_email, row_no
       FROM coordinators""",
     "extract_students": f"SELECT src_file AS extract, {_EXTRACT_COLUMNS} FROM fx_students WHERE src_file <> 'f1'",
+    "incremental_students": f"SELECT src_file AS extract, {_EXTRACT_COLUMNS} FROM fx_students",
+    "stream_landed_roster": f"SELECT {_EXTRACT_COLUMNS} FROM fx_students WHERE src_file <> 'f1'",
+    "landed_since": f"""SELECT src_file, row_no, section, crosslist, student_id, {_stamp()} AS activity_at FROM students
+      WHERE activity_ts >= TIMESTAMP '1995-06-17 00:00:00'""",
+    "extract_json": _TEACHER_FILES,
+    "extract_teachers": _TEACHER_FILES,
+    "extract_users": "SELECT * EXCLUDE (row_no) FROM users",
+    "extract_coordinators": "SELECT cost_centre, coordinator_id, coordinator_name, coordinator_email FROM fx_coordinators",
+    "extract_courses": "SELECT short_name, nrc, term FROM fx_courses",
+    "extract_links": "SELECT link, course_id FROM links",
+    "reduced_course_match": """SELECT short_name, nrc, term, src_file, row_no, section, crosslist, student_id, status
+      FROM student_rows WHERE cast(nrc AS BIGINT) % 10 = 0""",
+    "course_list_order": f"""SELECT line, CAST(row_number() OVER (ORDER BY cast(nrc AS BIGINT) DESC, phase, src_file, row_no, section, user_id, step)
+      AS BIGINT) AS place FROM ({_STAFF})""",
+    "registry_link_order": """SELECT short_name, nrc, term, CAST(row_number() OVER (ORDER BY block, seq, short_name) AS BIGINT) AS place FROM (
+      SELECT short_name, nrc, term, 0 AS block, -cast(nrc AS BIGINT) AS seq FROM registry
+      UNION ALL SELECT short_name, nrc, term, 1, row_no FROM new_rows)""",
+    "job_student": f"SELECT line FROM ({_ENROL})",
+    "job_staff": f"SELECT line FROM ({_STAFF})",
+    "job_registry": """SELECT short_name, nrc, term FROM registry UNION ALL SELECT short_name, nrc, term FROM new_rows""",
     "rejected_files": """SELECT DISTINCT src_file AS extract, 'missing_columns' AS reason, 'PAGO' AS missing
       FROM fx_students WHERE src_file = 'f1'""",
     "header_normalise": "SELECT src_file, row_no, student_id FROM fx_students",

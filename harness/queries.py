@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 
 from harness import views as fx
 from rosterflow import functions as rf
-from rosterflow import schemas, sinks
+from rosterflow import schemas, sinks, sources, streaming
 from rosterflow.operators import audit, centres, commands, counts, programme, registry, roster, users
-from rosterflow.params import Process
-from rosterflow.plans import enrolment
+from rosterflow.params import JobParams, Process
+from rosterflow.plans import enrolment, run_registry_job, run_staff_job, run_student_job
 from rosterflow.session import fresh_dir
 from rosterflow.sources import ingest_students as ingest_student_files
 from rosterflow.sources import normalise_headers as normalise
+from rosterflow.sources.tables import PROGRAM_CODE
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -120,6 +121,79 @@ def rejected_files(spark, sf):
     ).distinct()
 
 
+def _written(df: DataFrame, names: dict[str, str], file_format: str) -> str:
+    """A folder of extract files of ``df`` under the registrar's headers, in several files."""
+    folder = fresh_dir(df.sparkSession, "extracts")
+    ours = {ours: theirs for theirs, ours in names.items()}
+    named = df.select(*[F.col(c).alias(h) for c, h in ours.items()])
+    options = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False} if file_format == "csv" else {}
+    named.write.options(**options).format(file_format).save(folder)
+    return folder
+
+
+def _raw(df: DataFrame) -> DataFrame:
+    return df.withColumn("activity_ts", _stamp())
+
+
+@query
+def extract_json(spark, sf):
+    """Teachers from JSON lines, which leave null keys out."""
+    folder = _written(_raw(fx.teachers(spark, sf)), schemas.TEACHER_HEADERS, "json")
+    rows = sources.ingest_teachers(spark, folder, file_format="json").rows
+    return rows.select(*[c for c in schemas.TEACHER_COLUMNS if c != "activity_ts"], _stamp())
+
+
+@query
+def extract_teachers(spark, sf):
+    folder = _written(_raw(fx.teachers(spark, sf)), schemas.TEACHER_HEADERS, "parquet")
+    rows = sources.ingest_teachers(spark, folder, file_format="parquet").rows
+    return rows.select(*[c for c in schemas.TEACHER_COLUMNS if c != "activity_ts"], _stamp())
+
+
+@query
+def extract_users(spark, sf):
+    """The first row of each user is that of the file, so repeated users come from a file of one task."""
+    folder = _written(fx.users(spark, sf).orderBy("row_no").coalesce(1), schemas.USER_HEADERS, "csv")
+    return users.clean_users(sources.read_users(spark, folder))
+
+
+@query
+def extract_coordinators(spark, sf):
+    names = {**schemas.COORDINATOR_HEADERS, **schemas.COORDINATOR_OPTIONAL_HEADERS}
+    folder = _written(fx.coordinators(spark, sf), names, "csv")
+    return sources.read_coordinators(spark, folder).select(*schemas.COORDINATOR_COLUMNS)
+
+
+@query
+def extract_courses(spark, sf):
+    folder = _written(fx.courses(spark, sf), {"Nombre": "short_name", "NRC": "nrc", "Periodo": "term"}, "csv")
+    return sources.read_courses(spark, folder).select(*schemas.COURSE_COLUMNS)
+
+
+@query
+def extract_links(spark, sf):
+    folder = _written(fx.course_links(spark, sf), {schemas.LINK_HEADER: "link"}, "csv")
+    return registry.link_ids(sources.read_links(spark, folder)).select("link", "course_id")
+
+
+@query
+def incremental_students(spark, sf):
+    """Student files landed in two runs: files of ``f2`` arrive between them, and a third run finds nothing."""
+    folder, base = fresh_dir(spark, "arriving"), fresh_dir(spark, "landed-files")
+    headers = {ours: theirs for theirs, ours in schemas.STUDENT_HEADERS.items()}
+    rows = fx.students(spark, sf).withColumn("activity_ts", _stamp())
+    named = rows.select("src_file", *[F.col(c).alias(h) for c, h in headers.items()])
+    options = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    for late in (False, True):
+        part = named.where((F.col("src_file") == "f2") == F.lit(late))
+        part.write.options(**options).mode("append").partitionBy("src_file").csv(folder)
+        sources.land_new(spark, folder, base, schemas.STUDENT_HEADERS)
+    if sources.land_new(spark, folder, base, schemas.STUDENT_HEADERS).batch:
+        raise AssertionError("the third run found new files")
+    landed = roster.clean_students(sources.read_rows(spark, base))
+    return landed.select(_extract_name("src_file").alias("extract"), *[c for c in schemas.STUDENT_COLUMNS if c != "activity_ts"], _stamp())
+
+
 @query
 def header_normalise(spark, sf):
     spaced = fx.students(spark, sf).select(
@@ -257,6 +331,14 @@ def course_roster_match(spark, sf):
     return rows.select("short_name", "nrc", "term", *KEYS, "student_id", "status")
 
 
+@query
+def reduced_course_match(spark, sf):
+    """A tenth of the courses: only rows of their sections are sorted."""
+    some = fx.courses(spark, sf).where(F.col("nrc").cast("bigint") % 10 == 0)
+    rows = enrolment.matched_students(some, fx.students(spark, sf), reduce=True)
+    return rows.select("short_name", "nrc", "term", *KEYS, F.col("user_id").alias("student_id"), "status")
+
+
 @query
 def teacher_roster_match(spark, sf):
     deduped = roster.dedupe_teachers(roster.teacher_keys(fx.teachers(spark, sf)))
@@ -534,12 +616,8 @@ def sink_course_lists(spark, sf):
     return spark.read.schema("line string, short_name string").text(folder)
 
 
-@query
-def sink_hot_course_list(spark, sf):
-    """All teachers as the list of one course: the place of each line when part files are read by name."""
-    folder = fresh_dir(spark, "lists")
-    cmds = enrolment.teacher_commands(fx.courses(spark, sf), fx.teachers(spark, sf), fx.users(spark, sf))
-    sinks.write_course_lists(cmds.withColumn("short_name", F.lit("hot")), folder)
+def _placed(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of a folder with their place when part files are read by name."""
     lines = spark.read.text(folder).select(
         F.col("value").alias("line"),
         F.col("_metadata.file_path").alias("file"),
@@ -553,6 +631,40 @@ def sink_hot_course_list(spark, sf):
     return placed.select("line", (F.col("before") + F.col("at") - F.col("first") + 1).alias("place"))
 
 
+@query
+def sink_hot_course_list(spark, sf):
+    """All teachers as the list of one course: the place of each line when part files are read by name."""
+    folder = fresh_dir(spark, "lists")
+    cmds = enrolment.teacher_commands(fx.courses(spark, sf), fx.teachers(spark, sf), fx.users(spark, sf))
+    sinks.write_course_lists(cmds.withColumn("short_name", F.lit("hot")).withColumn("nrc", F.lit("0")), folder)
+    return _placed(spark, folder)
+
+
+def _listed_backwards(courses: DataFrame) -> DataFrame:
+    """A course list from the greatest number to the least."""
+    return courses.withColumns({"src_file": F.lit("list"), "row_no": -F.col("nrc").cast("bigint")})
+
+
+@query
+def course_list_order(spark, sf):
+    """Lists follow each other as the course list has them."""
+    folder = fresh_dir(spark, "consolidated")
+    sinks.write_consolidated(_staff_commands(spark, sf), folder, courses=_listed_backwards(fx.courses(spark, sf)))
+    return _placed(spark, folder)
+
+
+@query
+def registry_link_order(spark, sf):
+    """The written registry: known courses in their order, then new ones in that of the links."""
+    base = fresh_dir(spark, "registry")
+    known = _listed_backwards(_registry(spark, sf))
+    sinks.commit_registry(known.orderBy("row_no").select(*schemas.COURSE_COLUMNS), base)
+    first = sources.read_registry(spark, base)
+    sinks.commit_registry(registry.ordered_registry(first, registry_new(spark, sf)), base)
+    rows = sources.read_registry(spark, base)
+    return rows.select(*schemas.COURSE_COLUMNS, F.row_number().over(Window.orderBy("src_file", "row_no")).cast("bigint").alias("place"))
+
+
 @query
 def sink_consolidated(spark, sf):
     folder = fresh_dir(spark, "consolidated")
@@ -580,3 +692,71 @@ def sink_landed_roster(spark, sf):
     sinks.land_roster(fx.students(spark, sf), folder)
     rows = spark.read.schema(fx.students(spark, sf).schema).parquet(folder)
     return rows.groupBy("term", "crosslist", "status").agg(F.count("*").alias("n_rows"), F.sum("row_no").alias("row_sum"))
+
+
+@query
+def landed_since(spark, sf):
+    """A roster landed with typed times: the date is asked of the files."""
+    folder = fresh_dir(spark, "landed")
+    sinks.land_roster(_raw(fx.students(spark, sf)), folder, formats=())
+    rows = roster.student_keys(sources.read_landed(spark, folder), SINCE)
+    return rows.select(*KEYS, "student_id", _stamp())
+
+
+@query
+def stream_landed_roster(spark, sf):
+    """Parquet files landed by a stream with the checks of a batch read; those of ``f1`` lack a column."""
+    folder, base = fresh_dir(spark, "arriving"), fresh_dir(spark, "streamed")
+    headers = {ours: theirs for theirs, ours in schemas.STUDENT_HEADERS.items()}
+    named = _raw(fx.students(spark, sf)).select(F.col("src_file").alias("of"), *[F.col(c).alias(h) for c, h in headers.items()])
+    named.where("of <> 'f1'").drop("of").write.parquet(f"{folder}/whole")
+    named.where("of = 'f1'").drop("of", "PAGO").write.parquet(f"{folder}/short")
+    streaming.land_checked(spark, folder, schemas.STUDENT_HEADERS, base, f"{base}-checkpoint").awaitTermination()
+    rows = roster.clean_students(streaming.read_checked(spark, base))
+    return rows.select(*[c for c in schemas.STUDENT_COLUMNS if c != "activity_ts"], _stamp())
+
+
+# Whole jobs on files
+
+
+def _job_params(spark: SparkSession, sf: str, **more) -> JobParams:
+    folder = fresh_dir(spark, "job")
+    extracts = {**schemas.STUDENT_HEADERS, **PROGRAM_CODE}
+    paths = {
+        "courses_path": _written(fx.courses(spark, sf), {"Nombre": "short_name", "NRC": "nrc", "Periodo": "term"}, "csv"),
+        "users_path": _written(fx.users(spark, sf).orderBy("row_no").coalesce(1), schemas.USER_HEADERS, "csv"),
+        "students_path": _written(_raw(fx.students(spark, sf)).orderBy("src_file", "row_no").coalesce(1), extracts, "csv"),
+    }
+    return JobParams(**{**paths, "output_dir": f"{folder}/out", "work_dir": f"{folder}/work", "run_id": "1", **more})
+
+
+@query
+def job_student(spark, sf):
+    """The student job from files to the consolidated list."""
+    out = run_student_job(spark, _job_params(spark, sf))
+    return spark.read.text(out.consolidated).withColumnRenamed("value", "line")
+
+
+@query
+def job_staff(spark, sf):
+    """The staff job from files to the consolidated list."""
+    ordered = _raw(fx.teachers(spark, sf)).orderBy("src_file", "row_no").coalesce(1)
+    names = {**schemas.COORDINATOR_HEADERS, **schemas.COORDINATOR_OPTIONAL_HEADERS}
+    params = _job_params(
+        spark,
+        sf,
+        teachers_path=_written(ordered, schemas.TEACHER_HEADERS, "csv"),
+        coordinators_path=_written(fx.coordinators(spark, sf).orderBy("row_no").coalesce(1), names, "csv"),
+    )
+    return spark.read.text(run_staff_job(spark, params).consolidated).withColumnRenamed("value", "line")
+
+
+@query
+def job_registry(spark, sf):
+    """The registry job from files: the current version after it."""
+    folder = fresh_dir(spark, "job")
+    links = _written(fx.course_links(spark, sf).orderBy("row_no").coalesce(1), {schemas.LINK_HEADER: "link"}, "csv")
+    known = _written(_registry(spark, sf), {"Nombre": "short_name", "NRC": "nrc", "Periodo": "term"}, "csv")
+    out = f"{folder}/out"
+    run_registry_job(spark, links, _catalogue(spark, sf), known, out, "1", f"{folder}/work", f"{folder}/current")
+    return sources.read_registry(spark, f"{folder}/current").select(*schemas.COURSE_COLUMNS)

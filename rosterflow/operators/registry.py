@@ -96,5 +96,12 @@ def malformed(unknown: DataFrame) -> DataFrame:
 
 
 def merged_registry(registry: DataFrame, new: DataFrame) -> DataFrame:
-    """The registry followed by the new rows."""
+    """The registry followed by the new rows: a set, for joins. ``ordered_registry`` is the table to write."""
     return registry.select(*COURSE_COLUMNS).unionByName(new.select(*COURSE_COLUMNS))
+
+
+def ordered_registry(registry: DataFrame, new: DataFrame) -> DataFrame:
+    """The registry in its own order (file and row), then the new rows in the order of their links."""
+    known = registry.select(*COURSE_COLUMNS, F.lit(0).alias("block"), "src_file", F.col("row_no").cast("bigint").alias("row_no"))
+    added = new.select(*COURSE_COLUMNS, F.lit(1).alias("block"), F.lit("").alias("src_file"), F.col("row_no").cast("bigint").alias("row_no"))
+    return known.unionByName(added).orderBy("block", "src_file", "row_no", "short_name").select(*COURSE_COLUMNS)

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 
 from rosterflow.functions import (
     active_since,
@@ -41,13 +42,16 @@ def teacher_keys(teachers: DataFrame, since: dt.date | None = None, formats: Seq
 
 
 def _keys(roster: DataFrame, id_column: str, user_id, since: dt.date | None, formats: Sequence[str]) -> DataFrame:
+    given = F.col("activity_ts")
+    # a landed time is compared as it is, so that the files can be asked
+    time = given if roster.schema["activity_ts"].dataType == TimestampNTZType() else parse_activity(given, formats)
     return roster.withColumns(
         {
             "term": strip_decimal(F.col("term")),
             "section": strip_decimal(F.col("section")),
             "crosslist": strip_decimal(F.col("crosslist")),
             id_column: user_id,
-            "activity_ts": parse_activity(F.col("activity_ts"), formats),
+            "activity_ts": time,
         }
     ).where(active_since(F.col("activity_ts"), since))
 
@@ -133,6 +137,34 @@ def match_courses(courses: DataFrame, roster: DataFrame, cut: bool) -> DataFrame
     return roster.join(keyed, ["term", "crosslist"])
 
 
+def listed_sections(courses: DataFrame, roster: DataFrame, cut: bool, by_term: bool = True) -> DataFrame:
+    """The (term, section) pairs of which some roster row is of a listed course.
+
+    The first row of a person and section may be of any crosslist, but only these sections
+    can match. ``by_term=False`` gives sections of any term, for the oldest key.
+    """
+    term = F.col("term")
+    listed = distinct_courses(courses).select((cut_term(term) if cut else term).alias("term"), F.col("nrc").alias("crosslist"))
+    held = roster.join(listed.distinct(), ["term", "crosslist"], "left_semi")
+    return held.select(*(["term"] if by_term else []), "section").distinct()
+
+
+def in_sections(roster: DataFrame, sections: DataFrame) -> DataFrame:
+    """Roster rows of the given sections. It goes before the first-row sort, which then moves their rows only."""
+    renamed = sections.withColumnsRenamed({c: f"_{c}" for c in sections.columns})
+    same = F.lit(True)
+    for c in sections.columns:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return roster.join(renamed, same, "left_semi")
+
+
+def list_places(courses: DataFrame) -> DataFrame:
+    """The place of each course in its list: that of its first mention, by file and row."""
+    named = courses.where(F.col("short_name").isNotNull())
+    place = F.min(F.struct("src_file", "row_no")).alias("place")
+    return named.groupBy("short_name", strip_decimal(F.col("nrc")).alias("nrc")).agg(place)
+
+
 def with_doc_label(rows: DataFrame) -> DataFrame:
     return rows.withColumn("doc_label", doc_label(F.col("doc_type"), F.col("doc_no")))
 

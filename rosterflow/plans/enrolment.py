@@ -20,6 +20,8 @@ from rosterflow.operators.programme import (
 from rosterflow.operators.roster import (
     dedupe_students,
     dedupe_teachers,
+    in_sections,
+    listed_sections,
     match_courses,
     student_keys,
     teacher_keys,
@@ -36,9 +38,19 @@ def matched_students(
     rules: Rules = DEFAULT_RULES,
     since: dt.date | None = None,
     formats: Sequence[str] = (),
+    reduce: bool = False,
+    by_term: bool = True,
 ) -> DataFrame:
-    """First roster row per person and section, matched with courses and classified."""
-    roster = dedupe_students(student_keys(students, since, formats))
+    """First roster row per person and section, matched with courses and classified.
+
+    ``reduce`` reads the keys of the roster first and lets only rows of sections with a
+    listed course into the sort: for a roster that is much larger than the course list.
+    ``by_term=False`` is the oldest key of a person and section, of any term.
+    """
+    keyed = student_keys(students, since, formats)
+    if reduce:
+        keyed = in_sections(keyed, listed_sections(courses, keyed, True, by_term))
+    roster = dedupe_students(keyed, by_term)
     rows = match_courses(courses, roster, cut=True).withColumnRenamed("student_id", "user_id")
     partner = partner_or_home(F.col("partner"), rules)
     classed = with_programme_class(rows.withColumn("partner", partner), rules)
@@ -62,10 +74,12 @@ def student_commands(
     process: Process | str | None = None,
     rules: Rules = DEFAULT_RULES,
     since: dt.date | None = None,
+    formats: Sequence[str] = (),
+    by_term: bool = True,
 ) -> DataFrame:
     """The student job as one plan."""
     process = Process.of(process)
-    rows = matched_students(courses, students, process, rules, since)
+    rows = matched_students(courses, students, process, rules, since, formats, by_term=by_term)
     return commands_of_students(rows, users, process, rules)
 
 
@@ -76,19 +90,31 @@ def legacy_student_commands(
     rules: Rules = DEFAULT_RULES,
     since: dt.date | None = None,
     repeat_id: bool = True,
+    formats: Sequence[str] = (),
+    by_term: bool = True,
 ) -> DataFrame:
-    """The oldest policy: all five commands for each enrolled row, no directory."""
-    roster = dedupe_students(student_keys(students, since))
+    """The oldest policy: all five commands for each enrolled row, no directory.
+
+    A status that neither enrols nor takes out gives no command.
+    """
+    roster = dedupe_students(student_keys(students, since, formats), by_term)
     rows = match_courses(courses, roster, cut=True).withColumnRenamed("student_id", "user_id")
-    valid = rows.where(~is_invalid_padded(F.col("user_id")))
+    valid = rows.where(~is_invalid_padded(F.col("user_id")) & ~rules.unknown_status(F.col("status")))
     return cmd.legacy_commands(valid, class_code, rules, repeat_id)
 
 
 def matched_teachers(
-    courses: DataFrame, teachers: DataFrame, since: dt.date | None = None, formats: Sequence[str] = ()
+    courses: DataFrame,
+    teachers: DataFrame,
+    since: dt.date | None = None,
+    formats: Sequence[str] = (),
+    reduce: bool = False,
 ) -> DataFrame:
-    """First roster row per teacher and section, matched with courses."""
-    roster = dedupe_teachers(teacher_keys(teachers, since, formats))
+    """First roster row per teacher and section, matched with courses; ``reduce`` as for students."""
+    keyed = teacher_keys(teachers, since, formats)
+    if reduce:
+        keyed = in_sections(keyed, listed_sections(courses, keyed, False))
+    roster = dedupe_teachers(keyed)
     rows = match_courses(courses, roster, cut=False).withColumnRenamed("teacher_id", "user_id")
     return rows.withColumn("skip_reason", F.when(is_invalid_padded(F.col("user_id")), "invalid_id"))
 
@@ -114,9 +140,10 @@ def teacher_commands(
     users: DataFrame,
     rules: Rules = DEFAULT_RULES,
     since: dt.date | None = None,
+    formats: Sequence[str] = (),
 ) -> DataFrame:
     """The teacher half of the second job as one plan."""
-    return commands_of_teachers(matched_teachers(courses, teachers, since), users, rules)
+    return commands_of_teachers(matched_teachers(courses, teachers, since, formats), users, rules)
 
 
 def coordinator_commands(
@@ -139,8 +166,9 @@ def staff_commands(
     users: DataFrame,
     rules: Rules = DEFAULT_RULES,
     since: dt.date | None = None,
+    formats: Sequence[str] = (),
 ) -> DataFrame:
     """Teachers and coordinators of every course."""
-    return teacher_commands(courses, teachers, users, rules, since).unionByName(
+    return teacher_commands(courses, teachers, users, rules, since, formats).unionByName(
         coordinator_commands(courses, students, coordinators, users, rules)
     )

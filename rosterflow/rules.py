@@ -79,6 +79,11 @@ class Rules:
         """True for an explicit cancellation or removal only: a blank status takes nobody out."""
         return F.coalesce(status.isin(self.cancelled, self.removed), F.lit(False))
 
+    def unknown_status(self, status: Column) -> Column:
+        """True for a text that neither enrols nor takes out."""
+        text = F.btrim(F.coalesce(status, F.lit("")))
+        return ~text.isin("", self.enrolled, self.cancelled, self.removed)
+
     def former_unit(self, role_id: Column) -> Column:
         """Unit that a known user leaves on becoming a teacher, or null."""
         units = [F.when(role_id.isin(keys), F.lit(u)) for u, keys in _by_value(self.former_role_units)]

@@ -95,4 +95,4 @@ COMMAND_COLUMNS = (
 
 # Order of lines inside one course list, and of the lists in the consolidated one.
 LIST_ORDER = ("phase", "src_file", "row_no", "section", "user_id", "step")
-COMMAND_ORDER = ("short_name", *LIST_ORDER)
+COMMAND_ORDER = ("short_name", "nrc", *LIST_ORDER)

@@ -1,6 +1,7 @@
 """Outputs: command lists, counts, audit, registry and landed rosters."""
 
 from rosterflow.sinks.lists import (
+    commit_registry,
     land_roster,
     run_path,
     write_audit,
@@ -13,6 +14,7 @@ from rosterflow.sinks.lists import (
 )
 
 __all__ = [
+    "commit_registry",
     "land_roster",
     "run_path",
     "write_audit",

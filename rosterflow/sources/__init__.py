@@ -3,6 +3,7 @@
 from rosterflow.sources.extracts import Extracts, list_extracts, normalise_headers, read_extracts, read_files
 from rosterflow.sources.landing import Landing, land_new, read_rejected, read_rows
 from rosterflow.sources.tables import (
+    current_registry,
     ingest_students,
     ingest_teachers,
     prune_to_terms,
@@ -20,6 +21,7 @@ from rosterflow.sources.tables import (
 __all__ = [
     "Extracts",
     "Landing",
+    "current_registry",
     "ingest_students",
     "ingest_teachers",
     "land_new",

@@ -1,5 +1,5 @@
-"""Incremental landing of extract files."""
+"""Streaming ingest."""
 
-from rosterflow.streaming.landing import land_stream, stream_extracts
+from rosterflow.streaming.landing import land_checked, land_stream, read_checked, stream_extracts
 
-__all__ = ["land_stream", "stream_extracts"]
+__all__ = ["land_checked", "land_stream", "read_checked", "stream_extracts"]

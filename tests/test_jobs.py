@@ -109,7 +109,7 @@ def test_staff_job_reproduces_the_known_run(spark, inputs):
     counts = counts_of(spark, out.counts)
     assert counts == {course(i)[0]: 0 if i == 10 else 1 for i in range(1, N + 1)}
     events = Counter(r.event for r in spark.read.parquet(out.audit).collect())
-    assert events == {"course_total": 19, "many_centres": 2, "no_centre": 1, "coordinator_ok": 18}
+    assert events == {"course_total": 19, "many_centres": 2, "no_centre": 1, "coordinator_ok": 18, "loaded": 4}
     assert "502" in lists[course(2)[0]][3]  # one person is teacher and coordinator
 
 
@@ -139,7 +139,7 @@ def test_student_job(spark, inputs):
     assert counts[course(3)[0]] == 2 and counts[course(10)[0]] == 0
     assert sum(counts.values()) == sum(line.endswith(n) for n, ls in lists.items() for line in ls)
     events = Counter(r.event for r in spark.read.parquet(out.audit).collect())
-    assert events == {"course_total": 19, "partner": 1}
+    assert events == {"course_total": 19, "partner": 1, "loaded": 3}
 
 
 def test_drop_and_since(spark, inputs):
