@@ -38,6 +38,8 @@ ONE_IN = 20
 
 SPANS = "doc_id long, text_key long, copies long, n_words long, begins array<long>, ends array<long>, items array<string>"
 
+TOTALS = "doc_id long, text_key long, n_words long, n_hit long, begins array<long>, ends array<long>, items array<string>, items_sha256 string"
+
 
 def _words(texts) -> words.Words:
     raw, at = words.utf8(texts)
@@ -193,8 +195,11 @@ def _prefixes(windows: Windows, width: int, keys: np.ndarray, counts: np.ndarray
     return best[new], place[new], size[new]
 
 
-def _join(spark: SparkSession, docs: DataFrame, windows: Windows, prefixes, lengths: list[int], first: bool) -> DataFrame:
-    """Spans of each document's hit words, and the items they belong to; after the ``first`` block only of documents with hits."""
+def _join(spark: SparkSession, docs: DataFrame, windows: Windows, prefixes, lengths: list[int], first: bool, alone: bool) -> DataFrame:
+    """Spans of each document's hit words, and the items they belong to; after the ``first`` block only of documents with hits.
+
+    A block that is ``alone`` gives the totals at once.
+    """
     shared = spark.sparkContext.broadcast((windows, prefixes))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,8 +228,11 @@ def _join(spark: SparkSession, docs: DataFrame, windows: Windows, prefixes, leng
                 kinds.append(kind[exact])
                 begins.append(b[exact])
             yield from _spans(batch, found, win, np.concatenate(kinds), np.concatenate(begins), first)
+        work.release()
 
     keyed = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_key"))
+    if alone:  # in the same worker
+        return keyed.mapInArrow(lambda batches: _totals(run(batches)), TOTALS)
     return keyed.mapInArrow(run, SPANS)
 
 
@@ -280,7 +288,7 @@ def find_contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW,
         lengths = sorted({s for s, *_ in windows.shingles(shingle)})
         keys = np.unique(np.concatenate([np.empty(0, np.uint64), *(g.ravel() for *_, g in windows.shingles(shingle))]))
         counts = _rarity(spark, docs, keys, lengths) if len(keys) else np.empty(0, np.int64)
-        parts.append(_join(spark, docs, windows, _prefixes(windows, shingle, keys, counts), lengths or [1], not k))
+        parts.append(_join(spark, docs, windows, _prefixes(windows, shingle, keys, counts), lengths or [1], not k, n == 1))
     out = parts[0]
     if n > 1:
         for more in parts[1:]:
@@ -288,7 +296,7 @@ def find_contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW,
         flat = lambda c: F.flatten(F.collect_list(c)).alias(c)
         out = out.groupBy("doc_id", "text_key", "n_words").agg(F.sum("copies").alias("copies"), flat("begins"), flat("ends"), flat("items"))
         out = out.withColumn("copies", F.explode(F.expr("array_repeat(1L, cast(copies as int))")))
-    return out.mapInArrow(_totals, "doc_id long, text_key long, n_words long, n_hit long, begins array<long>, ends array<long>, items array<string>, items_sha256 string")
+    return out if n == 1 else out.mapInArrow(_totals, TOTALS)
 
 
 def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -33,9 +33,11 @@ _SIGN = "▁"
 UNKNOWN_PENALTY = 10.0
 #: Segments longer than this are segmented one at a time.
 WIDE = 96
-RUN_BYTES = 1_000_000
+#: Segments that are segmented together.
+LANES = 2048
+RUN_BYTES = 250_000
 #: Distinct segments whose encodings a task keeps.
-KEPT = 200_000
+KEPT = 120_000
 _UNKNOWN_TEXT = " ⁇ ".encode()
 
 
@@ -141,8 +143,8 @@ class Model:
         sizes = np.array([len(p) for p in parts])
         order = np.argsort(sizes, kind="stable")
         short = order[sizes[order] <= WIDE]
-        for i in range(0, len(short), 8192):
-            some = short[i : i + 8192]
+        for i in range(0, len(short), LANES):
+            some = short[i : i + LANES]
             for k, ids in zip(some, self._together([parts[k] for k in some], sizes[some])):
                 out[k] = ids
         for k in order[len(short) :]:
@@ -341,6 +343,7 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
 
     A null text has null ids, of which there are 0, and counts as restored.
     """
+    work.small_batches(docs.sparkSession)
     model = Model.load(path)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -358,6 +361,8 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
                 part = batch.slice(i, j - i)
                 lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(ids), mask=part["text"].is_null())
                 yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(np.diff(first), pa.int64()), lists, pa.array(same)], ["doc_id", "n_ids", "ids", "restored"])
+        del encoder
+        work.release()
 
     doc_id = dict(docs.dtypes)["doc_id"]
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {doc_id}, n_ids long, ids array<int>, restored boolean")

@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rosterflow.llm import work
+
 #: Bits of a narrow hash beyond those that number the characters of the input.
 SPARE_BITS = 19
 BLOCK_CHARS = 8_000_000
@@ -87,6 +89,7 @@ def totals(blocks: DataFrame, keys: Keys, plan: Plan) -> DataFrame:
     """
 
     def ask(table: pa.Table) -> pa.Table:
+        work.release()
         hashes, counts = keys(table)
         bucket, block = plan.bucket(hashes), table["block"][0].as_py()
         rows: dict[str, list] = {name: [] for name in _SCHEMA.names}
@@ -99,6 +102,7 @@ def totals(blocks: DataFrame, keys: Keys, plan: Plan) -> DataFrame:
         return pa.table(rows, _SCHEMA)
 
     def answer(table: pa.Table) -> pa.Table:
+        work.release()
         asked = []
         for row in table.select(["bucket", "width", "gaps"]).to_pylist():
             small = np.frombuffer(row["gaps"], np.uint8).reshape(-1, row["width"])
@@ -135,6 +139,7 @@ def with_totals(blocks: DataFrame, answers: DataFrame, keys: Keys, then: Callabl
     """``then(documents, totals)`` for each block; ``blocks`` and ``keys`` as ``totals`` got them."""
 
     def both(docs: pa.Table, told: pa.Table) -> pa.Table:
+        work.release()
         return then(docs, Totals(keys(docs)[0], told))
 
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(both, schema)
