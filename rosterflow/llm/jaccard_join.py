@@ -104,7 +104,7 @@ def shingle_sets(docs: DataFrame, n_words: int, block_chars: int) -> DataFrame:
         set_ids = pa.array([i.tobytes() if s else None for i, s in zip(ids, size)], pa.binary())
         return pa.table([table["doc_id"], table["text_key"], pa.array(size, pa.int64()), set_ids, pa.array(shared, pa.binary()), pa.array(n_rare, pa.int32()), pa.array(weight)], schema=_SETS)
 
-    return tally.with_totals(blocks, tally.totals(blocks, keys, plan), keys, then, _SETS_DDL)
+    return tally.with_totals(blocks, tally.totals(blocks, keys, plan), keys, then, _SETS_DDL, plan)
 
 
 @lru_cache(maxsize=64)

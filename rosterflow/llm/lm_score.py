@@ -1,8 +1,9 @@
 """Stupid-backoff language-model scores of documents.
 
-The model is the corpus itself: counts of all 1- to ``order``-grams of all documents. As
-usual for count tables, n-grams of two words or more that occur once in the whole corpus
-are not in them. A word scores
+The model is the corpus itself: counts of all 1- to ``order``-grams of all documents.
+N-grams of two words or more that occur fewer than ``min_count`` times in the whole corpus
+are not in the tables; with the default of 2 a document's own single n-grams tell nothing
+of it, with 1 all are in. A word scores
 
     S(w | context) = count(context w) / count(context)    if (context w) is in the tables
                      0.4 * S(w | shorter context)         else
@@ -24,7 +25,7 @@ from rosterflow.llm import tally, words, work
 
 ORDER = 3
 BACKOFF = 0.4
-#: Counts below this are not kept for two words or more.
+#: Counts below this are not kept for two words or more, unless a call says otherwise.
 MIN_COUNT = 2
 _OUT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("log10_counts", pa.float64()), ("n_single", pa.int64()), ("n_backoffs", pa.int64())])
 
@@ -43,15 +44,16 @@ def _sums(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return hashes[first], np.add.reduceat(counts[order], first) if len(first) else counts
 
 
-def score_documents(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, block_chars: int = tally.BLOCK_CHARS) -> DataFrame:
+def score_documents(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, block_chars: int = tally.BLOCK_CHARS, min_count: int = MIN_COUNT) -> DataFrame:
     """``doc_id, n_words, log10_score (sum over words), n_backoffs`` of each row of ``docs (doc_id, text)``.
 
     Words are `[^\\x20\\x09-\\x0D]+` with A-Z lower-cased. A null, empty or blank text has
-    0 words and the score null. Repeated rows count, and are scored, each time. Other
-    columns are ignored; an empty table gives no rows.
+    0 words and the score null. Texts of any length are scored whole. Repeated rows
+    count, and are scored, each time. Other columns are ignored; an empty table gives no
+    rows. ``min_count`` is 1 or more.
     """
     docs = docs.select(F.col("doc_id").cast("long"), "text")
-    plan = tally.Plan.of(docs, block_chars)
+    plan = tally.Plan.of(docs, block_chars, packed=True)
     blocks = plan.blocks(docs)
 
     def keys(table: pa.Table):
@@ -79,7 +81,7 @@ def score_documents(docs: DataFrame, order: int = ORDER, backoff: float = BACKOF
                 count[last] = totals.of(gram[whole])
                 context = np.zeros(size, np.int64)
                 context[last] = below[last - 1]
-                seen = count >= MIN_COUNT
+                seen = count >= min_count
                 missed = np.zeros(size, bool)
                 missed[last] = ~seen[last]
                 with np.errstate(divide="ignore", invalid="ignore"):
@@ -96,7 +98,7 @@ def score_documents(docs: DataFrame, order: int = ORDER, backoff: float = BACKOF
         return pa.concat_tables(out) if out else _OUT.empty_table()
 
     answers = tally.totals(blocks, keys, plan)
-    parts = work.written(tally.with_totals(blocks, answers, keys, score, "doc_id long, n_words long, log10_counts double, n_single long, n_backoffs long"), "lm-scores")
+    parts = work.written(tally.with_totals(blocks, answers, keys, score, "doc_id long, n_words long, log10_counts double, n_single long, n_backoffs long", plan), "lm-scores")
     # the words scored by their own count alone lack the division by the corpus size
     n_words = F.lit(float(parts.agg(F.sum("n_words")).first()[0] or 1))
     score_of = F.when(F.col("n_words") > 0, F.col("log10_counts") - F.col("n_single") * F.log10(n_words))
