@@ -15,7 +15,14 @@
    a small multiple of the prefix.
 3. Verification. Sets that share a key are candidates. Components need no links within a
    component, so a key's sets are first compared with one pivot, twice; then pairs of sets
-   that share a key but lie in different components are all compared.
+   that share a key but lie in different components are compared.
+4. Crowded keys. Where more than ``CROWD`` sets of a key are still outside its largest
+   component, its sets share a passage rather than a text. All such sets are indexed anew,
+   among themselves: shingles that the same sets hold are one weighted *atom*, so that a
+   passage counts once, and keys are combinations of 1 to ``MOST_K`` atoms of a prefix that
+   no partner can miss. A pair is compared at the largest number of atoms that both have
+   keys of, within bounds of length and position. Nothing is left out: a set with too many
+   combinations takes fewer atoms a key.
 
 Shingles are 64-bit hashes of words; sets are equal if the sizes and two sums over 64-bit
 hashes are.
@@ -23,6 +30,7 @@ hashes are.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import combinations
@@ -41,6 +49,10 @@ PERCENT = 75
 RARE = 20
 K = 2
 PIVOT_ROUNDS = 2
+#: Sets outside a key's largest component from which on they are indexed by atoms.
+CROWD = 8
+#: Atoms in a key, and keys of a set with one number of atoms.
+MOST_K, MOST_KEYS = 4, 256
 _SETS = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("n", pa.int64()), ("set_id", pa.binary()), ("shared", pa.binary()), ("n_rare", pa.int32()), ("weight", pa.float64())])
 _SETS_DDL = "doc_id long, text_key long, n long, set_id binary, shared binary, n_rare int, weight double"
 
@@ -231,7 +243,7 @@ def near_duplicates(docs: DataFrame, n_words: int = SHINGLE_WORDS, block_chars:
         if turn < PIVOT_ROUNDS:
             pairs = _with_pivot(index, turn)
         else:
-            pairs = _across(index)
+            pairs = _across(index, sets)
         found = work.written(_verified(pairs.distinct(), sets), "links")
         links = found if links is None else links.unionByName(found)
         component = work.written(connected_components(links), "components")
@@ -262,17 +274,113 @@ def _with_pivot(index: DataFrame, turn: int) -> DataFrame:
     return _pairs(index, pivot)
 
 
-def _across(index: DataFrame) -> DataFrame:
-    """Pairs of sets that share a key but not a component: the sets outside a key's largest component with all others."""
-    index = index.select("node", "key", "n", "level", "label")
-    sizes = index.groupBy("key", "label").agg(F.count("*").alias("size"))
-    largest = sizes.groupBy("key").agg(F.max_by("label", "size").alias("main"))
-    outside = index.join(largest, "key").where("label != main").select("key", *(F.col(c).alias(f"{c}_x") for c in ("node", "label", "n", "level")))
-    return _pairs(index, outside)
+def _across(index: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs of sets that share a key but not a component: those outside a key's largest component with all
+    others, and where many are outside, the pairs that atoms find."""
+    index = _with_outside(index.select("node", "key", "n", "level", "label"))
+    index = work.written(index, "prefix-index")
+    crowded = index.where(F.col("outside") > CROWD).select("node", "n", "label").distinct()
+    crowded = work.written(crowded, "crowded-sets")
+    index = index.join(crowded.select("node", F.lit(True).alias("crowded")), "node", "left").withColumn("crowded", F.col("crowded").isNotNull())
+    few = index.where(F.col("outside") <= CROWD)
+    pairs = _pairs(few, _named_x(few.where("label != main"), "crowded"), ~(F.col("crowded") & F.col("crowded_x")))
+    if crowded.isEmpty():
+        return pairs
+    atoms = work.written(_with_outside(atom_index(crowded, sets), F.max("top").alias("has_top")).where("outside > 0 and has_top"), "atom-index")
+    outside = atoms.where("label != main")
+    return pairs.unionByName(_pairs(atoms, _named_x(outside.where("top")))).unionByName(_pairs(atoms.where("top"), _named_x(outside.where("not top"))))
 
 
-def _pairs(index: DataFrame, others: DataFrame) -> DataFrame:
-    pairs = index.join(others, "key").where((F.col("label") != F.col("label_x")) & _can_link("n", "level", "n_x", "level_x"))
+def _with_outside(index: DataFrame, *more: Column) -> DataFrame:
+    """``index`` with each key's ``main`` component and the number of sets ``outside`` it."""
+    sizes = index.groupBy("key", "label").agg(F.count("*").alias("size"), *more)
+    more_of_key = [F.max(c).alias(c) for c in sizes.columns[3:]]
+    largest = sizes.groupBy("key").agg(F.max_by("label", "size").alias("main"), (F.sum("size") - F.max("size")).alias("outside"), *more_of_key)
+    return index.join(largest, "key")
+
+
+def atom_index(crowded: DataFrame, sets: DataFrame) -> DataFrame:
+    """``node, key, n, level, top, label``: the atom keys of the sets ``crowded (node, n, label)``.
+
+    Two sets that link share a key that is ``top`` on one side, at levels as in ``prefix_keys``.
+    """
+    chosen = sets.join(crowded.select("node"), "node", "left_semi").select("node", "shared")
+    held = chosen.mapInArrow(_shingle_rows, "node long, shingle long")
+    # an atom is named by the sets that hold it; what one set alone holds links nothing
+    holders = (F.bit_xor(F.xxhash64("node", F.lit(k))) for k in (1, 2))
+    named = held.groupBy("shingle").agg(F.count("*").alias("sets"), F.xxhash64(*holders).alias("atom")).where("sets > 1")
+    weighed = held.join(named, "shingle").groupBy("node", "atom").agg(F.first("sets").alias("sets"), F.count("*").alias("weight"))
+    listed = weighed.groupBy("node").agg(F.collect_list(F.struct("sets", "atom", "weight")).alias("atoms"))
+    listed = crowded.join(listed, "node").select("node", "n", "label", *(F.col(f"atoms.{c}").alias(c) for c in ("sets", "atom", "weight")))
+    return listed.mapInArrow(_atom_key_rows, "node long, key long, n long, level long, top boolean, label long")
+
+
+def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for node, packed in zip(batch["node"].to_pylist(), batch["shared"].to_pylist()):
+            own = np.frombuffer(packed, "<i8")
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), node)), pa.array(own)], ["node", "shingle"])
+
+
+def _prefix(weights: np.ndarray, missing: int, k: int) -> tuple[int, bool]:
+    """The fewest first atoms of which ``k`` stay whatever atoms of at most the weight ``missing`` go; whether any do."""
+
+    def stay(p: int) -> int:
+        return p - int(np.searchsorted(np.cumsum(np.sort(weights[:p])), missing, side="right"))
+
+    if stay(len(weights)) < k:
+        return len(weights), False
+    low, high = k, len(weights)
+    while low < high:
+        half = (low + high) // 2
+        low, high = (low, half) if stay(half) >= k else (half + 1, high)
+    return low, True
+
+
+def atom_keys(n: int, sets: np.ndarray, atom: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys, levels and ``top`` of a set of ``n`` shingles with these atoms, each held by ``sets`` sets.
+
+    Sets with ``k`` or more common atoms share the key of their first ``k``, whose level on each
+    side is one more than the shingles that are surely not common. A set is sure to have ``k``
+    atoms in common with every partner, or else it has the keys of fewer as ``top`` too.
+    """
+    order = np.lexsort((atom, sets))
+    atom, weight = atom[order].view(np.uint64), weight[order]
+    own = n - int(weight.sum())
+    missing = n - _least_overlap(n) - own
+    found: list[tuple[int, int, bool]] = []
+    for k in range(1, MOST_K + 1) if missing >= 0 else ():
+        p, sure = _prefix(weight, missing, k)
+        if k > 1 and math.comb(p, k) > MOST_KEYS:
+            break
+        found.append((k, p, sure))
+    keys, levels, tops = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, bool)]
+    reach = np.cumsum(weight)
+    for i, (k, p, _) in enumerate(found):
+        if p < k:
+            break
+        chosen = _choices(p, k)
+        keys.append(words.mix(words.mix(atom[chosen]).sum(axis=1) + np.uint64(k)))
+        levels.append(own + 1 + reach[chosen[:, -1]] - weight[chosen].sum(axis=1))
+        tops.append(np.full(len(chosen), i + 1 == len(found) or not found[i + 1][2]))
+    return np.concatenate(keys), np.concatenate(levels), np.concatenate(tops)
+
+
+def _atom_key_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for node, n, label, *atoms in zip(*(batch[c].to_pylist() for c in ("node", "n", "label", "sets", "atom", "weight"))):
+            key, level, top = atom_keys(n, *(np.array(a, np.int64) for a in atoms))
+            same = [np.full(len(key), v, np.int64) for v in (node, n, label)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (same[0], key.view(np.int64), same[1], level, top, same[2])], ["node", "key", "n", "level", "top", "label"])
+
+
+def _named_x(index: DataFrame, *more: str) -> DataFrame:
+    return index.select("key", *(F.col(c).alias(f"{c}_x") for c in ("node", "label", "n", "level", *more)))
+
+
+def _pairs(index: DataFrame, others: DataFrame, also: Column | None = None) -> DataFrame:
+    near = (F.col("label") != F.col("label_x")) & _can_link("n", "level", "n_x", "level_x")
+    pairs = index.join(others, "key").where(near if also is None else near & also)
     return pairs.select(F.least("node", "node_x").alias("a"), F.greatest("node", "node_x").alias("b"))
 
 
