@@ -19,10 +19,11 @@
 4. Crowded keys. Where more than ``CROWD`` sets of a key are still outside its largest
    component, its sets share a passage rather than a text. All such sets are indexed anew,
    among themselves: shingles that the same sets hold are one weighted *atom*, so that a
-   passage counts once, and keys are combinations of 1 to ``MOST_K`` atoms of a prefix that
-   no partner can miss. A pair is compared at the largest number of atoms that both have
-   keys of, within bounds of length and position. Nothing is left out: a set with too many
-   combinations takes fewer atoms a key.
+   passage counts once, and keys are combinations of ``k`` atoms of a prefix that no partner
+   can miss, within bounds of length and position. ``k`` grows from 1 to ``MOST_K``: sets
+   whose keys are no longer crowded are compared and leave. So do sets, with all others of
+   their keys, that may have no more than ``k`` atoms in common with a partner, or have too
+   many combinations of more. Nothing is left out.
 
 Shingles are 64-bit hashes of words; sets are equal if the sizes and two sums over 64-bit
 hashes are.
@@ -32,7 +33,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, partial
 from itertools import combinations
 
 import numpy as np
@@ -51,7 +52,7 @@ K = 2
 PIVOT_ROUNDS = 2
 #: Sets outside a key's largest component from which on they are indexed by atoms.
 CROWD = 8
-#: Atoms in a key, and keys of a set with one number of atoms.
+#: Atoms in a key, and keys of a set with two atoms or more each.
 MOST_K, MOST_KEYS = 4, 256
 _SETS = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("n", pa.int64()), ("set_id", pa.binary()), ("shared", pa.binary()), ("n_rare", pa.int32()), ("weight", pa.float64())])
 _SETS_DDL = "doc_id long, text_key long, n long, set_id binary, shared binary, n_rare int, weight double"
@@ -286,24 +287,29 @@ def _across(index: DataFrame, sets: DataFrame) -> DataFrame:
     pairs = _pairs(few, _named_x(few.where("label != main"), "crowded"), ~(F.col("crowded") & F.col("crowded_x")))
     if crowded.isEmpty():
         return pairs
-    atoms = work.written(_with_outside(atom_index(crowded, sets), F.max("top").alias("has_top")).where("outside > 0 and has_top"), "atom-index")
-    outside = atoms.where("label != main")
-    return pairs.unionByName(_pairs(atoms, _named_x(outside.where("top")))).unionByName(_pairs(atoms.where("top"), _named_x(outside.where("not top"))))
+    left = work.written(set_atoms(crowded, sets), "set-atoms")
+    for k in range(1, MOST_K + 1):
+        keyed = left.mapInArrow(partial(_atom_key_rows, k), "node long, key long, n long, level long, top boolean, label long")
+        atoms = work.written(_with_outside(keyed).where("outside > 0"), "atom-index")
+        few, many = atoms.where(F.col("outside") <= CROWD), atoms.where(F.col("outside") > CROWD)
+        for some, others in ((few, few.where("label != main")), (many, many.where("label != main and top")), (many.where("top"), many.where("label != main and not top"))):
+            pairs = pairs.unionByName(_pairs(some, _named_x(others)))
+        onward = many.where("not top").select("node").distinct()
+        if onward.isEmpty():
+            break
+        left = left.join(onward, "node", "left_semi")
+    return pairs
 
 
-def _with_outside(index: DataFrame, *more: Column) -> DataFrame:
+def _with_outside(index: DataFrame) -> DataFrame:
     """``index`` with each key's ``main`` component and the number of sets ``outside`` it."""
-    sizes = index.groupBy("key", "label").agg(F.count("*").alias("size"), *more)
-    more_of_key = [F.max(c).alias(c) for c in sizes.columns[3:]]
-    largest = sizes.groupBy("key").agg(F.max_by("label", "size").alias("main"), (F.sum("size") - F.max("size")).alias("outside"), *more_of_key)
+    sizes = index.groupBy("key", "label").agg(F.count("*").alias("size"))
+    largest = sizes.groupBy("key").agg(F.max_by("label", "size").alias("main"), (F.sum("size") - F.max("size")).alias("outside"))
     return index.join(largest, "key")
 
 
-def atom_index(crowded: DataFrame, sets: DataFrame) -> DataFrame:
-    """``node, key, n, level, top, label``: the atom keys of the sets ``crowded (node, n, label)``.
-
-    Two sets that link share a key that is ``top`` on one side, at levels as in ``prefix_keys``.
-    """
+def set_atoms(crowded: DataFrame, sets: DataFrame) -> DataFrame:
+    """``node, n, label`` of the sets ``crowded`` and, as arrays, their atoms: ``sets`` that hold it, ``atom``, ``weight``."""
     chosen = sets.join(crowded.select("node"), "node", "left_semi").select("node", "shared")
     held = chosen.mapInArrow(_shingle_rows, "node long, shingle long")
     # an atom is named by the sets that hold it; what one set alone holds links nothing
@@ -311,8 +317,7 @@ def atom_index(crowded: DataFrame, sets: DataFrame) -> DataFrame:
     named = held.groupBy("shingle").agg(F.count("*").alias("sets"), F.xxhash64(*holders).alias("atom")).where("sets > 1")
     weighed = held.join(named, "shingle").groupBy("node", "atom").agg(F.first("sets").alias("sets"), F.count("*").alias("weight"))
     listed = weighed.groupBy("node").agg(F.collect_list(F.struct("sets", "atom", "weight")).alias("atoms"))
-    listed = crowded.join(listed, "node").select("node", "n", "label", *(F.col(f"atoms.{c}").alias(c) for c in ("sets", "atom", "weight")))
-    return listed.mapInArrow(_atom_key_rows, "node long, key long, n long, level long, top boolean, label long")
+    return crowded.join(listed, "node").select("node", "n", "label", *(F.col(f"atoms.{c}").alias(c) for c in ("sets", "atom", "weight")))
 
 
 def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -337,41 +342,34 @@ def _prefix(weights: np.ndarray, missing: int, k: int) -> tuple[int, bool]:
     return low, True
 
 
-def atom_keys(n: int, sets: np.ndarray, atom: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys, levels and ``top`` of a set of ``n`` shingles with these atoms, each held by ``sets`` sets.
+def atom_keys(n: int, sets: np.ndarray, atom: np.ndarray, weight: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Keys of ``k`` atoms and their levels, of a set of ``n`` shingles with these atoms, each held by ``sets`` sets.
 
     Sets with ``k`` or more common atoms share the key of their first ``k``, whose level on each
-    side is one more than the shingles that are surely not common. A set is sure to have ``k``
-    atoms in common with every partner, or else it has the keys of fewer as ``top`` too.
+    side is one more than the shingles that are surely not common. The last value is true if
+    the set has no keys of more atoms: it is not sure to share them with every partner, or
+    has too many.
     """
     order = np.lexsort((atom, sets))
     atom, weight = atom[order].view(np.uint64), weight[order]
     own = n - int(weight.sum())
     missing = n - _least_overlap(n) - own
-    found: list[tuple[int, int, bool]] = []
-    for k in range(1, MOST_K + 1) if missing >= 0 else ():
-        p, sure = _prefix(weight, missing, k)
-        if k > 1 and math.comb(p, k) > MOST_KEYS:
-            break
-        found.append((k, p, sure))
-    keys, levels, tops = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, bool)]
-    reach = np.cumsum(weight)
-    for i, (k, p, _) in enumerate(found):
-        if p < k:
-            break
-        chosen = _choices(p, k)
-        keys.append(words.mix(words.mix(atom[chosen]).sum(axis=1) + np.uint64(k)))
-        levels.append(own + 1 + reach[chosen[:, -1]] - weight[chosen].sum(axis=1))
-        tops.append(np.full(len(chosen), i + 1 == len(found) or not found[i + 1][2]))
-    return np.concatenate(keys), np.concatenate(levels), np.concatenate(tops)
+    if missing < 0:
+        return np.empty(0, np.uint64), np.empty(0, np.int64), True
+    p, _ = _prefix(weight, missing, k)
+    chosen = _choices(p, k)
+    key = words.mix(words.mix(atom[chosen]).sum(axis=1) + np.uint64(k))
+    level = own + 1 + np.cumsum(weight)[chosen[:, -1]] - weight[chosen].sum(axis=1)
+    longer, sure = _prefix(weight, missing, k + 1)
+    return key, level, k == MOST_K or not sure or math.comb(longer, k + 1) > MOST_KEYS
 
 
-def _atom_key_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _atom_key_rows(k: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for node, n, label, *atoms in zip(*(batch[c].to_pylist() for c in ("node", "n", "label", "sets", "atom", "weight"))):
-            key, level, top = atom_keys(n, *(np.array(a, np.int64) for a in atoms))
+            key, level, top = atom_keys(n, *(np.array(a, np.int64) for a in atoms), k)
             same = [np.full(len(key), v, np.int64) for v in (node, n, label)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (same[0], key.view(np.int64), same[1], level, top, same[2])], ["node", "key", "n", "level", "top", "label"])
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (same[0], key.view(np.int64), same[1], level, np.full(len(key), top), same[2])], ["node", "key", "n", "level", "top", "label"])
 
 
 def _named_x(index: DataFrame, *more: str) -> DataFrame:
