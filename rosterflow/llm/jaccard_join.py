@@ -291,10 +291,13 @@ def _across(index: DataFrame, sets: DataFrame) -> DataFrame:
     for k in range(1, MOST_K + 1):
         keyed = left.mapInArrow(partial(_atom_key_rows, k), "node long, key long, n long, level long, top boolean, label long")
         atoms = work.written(_with_outside(keyed).where("outside > 0"), "atom-index")
+        onward = work.written(atoms.where(F.col("outside") > CROWD).where("not top").select("node").distinct(), "crowded-sets")
+        # two sets that go on have more than k atoms in common if they link, so a later k compares them
+        atoms = atoms.join(onward.select("node", F.lit(True).alias("goes")), "node", "left").withColumn("goes", F.col("goes").isNotNull())
         few, many = atoms.where(F.col("outside") <= CROWD), atoms.where(F.col("outside") > CROWD)
-        for some, others in ((few, few.where("label != main")), (many, many.where("label != main and top")), (many.where("top"), many.where("label != main and not top"))):
+        pairs = pairs.unionByName(_pairs(few, _named_x(few.where("label != main"), "goes"), ~(F.col("goes") & F.col("goes_x"))))
+        for some, others in ((many, many.where("label != main and top")), (many.where("top"), many.where("label != main and not top"))):
             pairs = pairs.unionByName(_pairs(some, _named_x(others)))
-        onward = many.where("not top").select("node").distinct()
         if onward.isEmpty():
             break
         left = left.join(onward, "node", "left_semi")
