@@ -1,6 +1,7 @@
 """Outputs: command lists, counts, audit, registry and landed rosters."""
 
 from rosterflow.sinks.lists import (
+    arranged,
     commit_registry,
     land_roster,
     run_path,
@@ -14,6 +15,7 @@ from rosterflow.sinks.lists import (
 )
 
 __all__ = [
+    "arranged",
     "commit_registry",
     "land_roster",
     "run_path",
