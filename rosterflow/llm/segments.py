@@ -15,46 +15,54 @@ LONGEST_KEPT = 256
 
 
 class SegmentCache:
-    """``encode`` gives the ids of all segments in a row, and how many each has."""
+    """``encode`` gives the ids of all segments in a row, and how many each has.
+
+    Segments are known by their 64-bit hashes, in a sorted array, so that only new ones become
+    Python objects.
+    """
 
     def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], kept: int = KEPT):
         self._encode, self._kept = encode, kept
         self._forget()
 
     def _forget(self) -> None:
-        self._slot: dict[bytes, int] = {}
+        self._known, self._slot = np.empty(0, np.uint64), np.empty(0, np.int64)
         self._bytes = 0
         self._ids, self._first = np.empty(0, np.int32), np.zeros(1, np.int64)
 
-    def _add(self, parts: list[bytes]) -> None:
-        ids, sizes = self._encode(parts)
-        self._slot.update(zip(parts, range(len(self._slot), len(self._slot) + len(parts))))
-        self._bytes += sum(map(len, parts))
-        self._first = np.concatenate([self._first, self._first[-1] + np.cumsum(sizes)])
-        self._ids = np.concatenate([self._ids, ids])
-
-    def _slots(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The place of each part, and the ids of all places with the offsets between them."""
-        if len(self._slot) > self._kept or self._bytes > KEPT_BYTES:
+    def _slots(self, value: np.ndarray, whole: bytes, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The place of each segment, by sorted hashes, and the ids of all places with the offsets between them."""
+        if len(self._known) > self._kept or self._bytes > KEPT_BYTES:
             self._forget()
-        new = [p for p in parts if len(p) <= LONGEST_KEPT and p not in self._slot]
-        if new:
-            self._add(new)
-        ids, first, long = self._ids, self._first, {}
-        if any(len(p) > LONGEST_KEPT for p in parts):
-            whole = [p for p in parts if len(p) > LONGEST_KEPT]
-            long = dict(zip(whole, range(len(first) - 1, len(first) - 1 + len(whole))))
-            more, sizes = self._encode(whole)
-            ids, first = np.concatenate([ids, more]), np.concatenate([first, first[-1] + np.cumsum(sizes)])
-        return np.fromiter((long[p] if p in long else self._slot[p] for p in parts), np.int64, len(parts)), ids, first
+        at = np.searchsorted(self._known, value)
+        new = np.ones(len(value), bool)
+        inside = at < len(self._known)
+        new[inside] = self._known[at[inside]] != value[inside]
+        slot = np.empty(len(value), np.int64)
+        slot[~new] = self._slot[at[~new]]
+        long = new & (end - start > LONGEST_KEPT)
+        short = np.flatnonzero(new & ~long)
+        if len(short):
+            slot[short] = len(self._known) + np.arange(len(short))
+            self._ids, self._first = self._more(self._ids, self._first, whole, start[short], end[short])
+            self._bytes += int((end[short] - start[short]).sum())
+            self._known = np.insert(self._known, at[short], value[short])
+            self._slot = np.insert(self._slot, at[short], slot[short])
+        if not long.any():
+            return slot, self._ids, self._first
+        slot[long] = len(self._known) + np.arange(long.sum())
+        return slot, *self._more(self._ids, self._first, whole, start[long], end[long])
+
+    def _more(self, ids: np.ndarray, first: np.ndarray, whole: bytes, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        more, sizes = self._encode([whole[i:j] for i, j in zip(start.tolist(), end.tolist())])
+        return np.concatenate([ids, more]), np.concatenate([first, first[-1] + np.cumsum(sizes)])
 
     def __call__(self, raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all segments in a row, and the ``len(start) + 1`` offsets between them."""
         if not len(start):
             return np.empty(0, np.int32), np.zeros(1, np.int64)
-        _, one, which = np.unique(words.range_hashes(raw, start, end), return_index=True, return_inverse=True)
-        whole = raw.tobytes()
-        slot, ids, first = self._slots([whole[i:j] for i, j in zip(start[one].tolist(), end[one].tolist())])
+        value, one, which = np.unique(words.range_hashes(raw, start, end), return_index=True, return_inverse=True)
+        slot, ids, first = self._slots(value, raw.tobytes(), start[one], end[one])
         slot = slot[which]
         size = first[slot + 1] - first[slot]
         total = np.concatenate([[0], np.cumsum(size)])

@@ -17,7 +17,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -35,11 +35,16 @@ ESCAPE = 14
 #: A block is closed when it has so many ids.
 BLOCK_IDS = 1 << 18
 #: Texts are encoded in runs of so many bytes, and a process keeps so many segments.
-RUN_BYTES, KEPT = 4_000_000, 900_000
+RUN_BYTES, KEPT = 4_000_000, 1_500_000
+#: Segments that are encoded as one text.
+JOINED = 256
 SHARD_CHARS = 16_000_000
 END_ID = 0
 BLOCKS = "shard int, block int, start long, n_ids long, doc_ids array<long>, payload binary"
 _MAGIC = 0x31623853
+_LIMITS = np.uint64(1) << np.array([b for _, b in SELECTORS], np.uint64)
+#: The first selector that holds an id, of small ids.
+_LEVELS = np.searchsorted(_LIMITS, np.arange(1 << 17, dtype=np.uint64), "right").astype(np.uint8)
 
 
 def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -48,19 +53,15 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = len(ids)
     if not n:
         return np.empty(0, np.uint64), np.empty(0, np.int64)
-    limits = np.uint64(1) << np.array([b for _, b in SELECTORS], np.uint64)
-    level = np.searchsorted(limits, ids, "right")  # the first selector that holds the id; 14 for an escape
-    choice = np.where(level == ESCAPE, ESCAPE, len(SELECTORS) - 1)
-    small = np.arange(n)
-    for s in range(len(SELECTORS) - 2, int(level.min()) - 1, -1):
-        small = small[level[small] <= s]
-        # runs of ids that are small enough; an end short of ids is filled with zeros
-        last = np.flatnonzero(np.diff(small, append=n + 1) != 1)
-        if len(small) and small[-1] == n - 1:
-            last[-1] = len(small) - 1
-        run_end = np.repeat(small[last], np.diff(last, prepend=-1))
-        fits = (run_end - small + 1 >= SELECTORS[s][0]) | (run_end == n - 1)
-        choice[small[fits]] = s
+    level = np.full(n + 60, 0, np.uint8)  # an end short of ids is filled with zeros
+    level[:n] = _LEVELS[ids] if ids.max() < len(_LEVELS) else np.searchsorted(_LIMITS, ids, "right")  # the first selector that holds the id; 14 for an escape
+    choice = np.where(level[:n] == ESCAPE, ESCAPE, len(SELECTORS) - 1)
+    for s in range(len(SELECTORS) - 2, int(level[:n].min()) - 1, -1):
+        fits, width, count = level <= s, 1, SELECTORS[s][0]
+        while width < count:  # whether so many ids from each place on are small enough
+            more = min(width, count - width)
+            fits, width = fits[: len(fits) - more] & fits[more:], width + more
+        choice[fits[:n]] = s
     at = _chain(np.array([c for c, _ in SELECTORS] + [1])[choice])
     chosen = choice[at]
     where = np.arange(len(at)) + np.cumsum(chosen == ESCAPE) - (chosen == ESCAPE)
@@ -73,25 +74,26 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             out[where[own] + 1] = ids[at[own]]
             continue
         count, bits = SELECTORS[s]
-        shifts = np.arange(count, dtype=np.uint64) * np.uint64(bits)
-        packed = np.bitwise_or.reduce(padded[at[own][:, None] + np.arange(count)] << shifts, axis=1)
-        out[where[own]] = packed | (np.uint64(s) << np.uint64(60))
+        begin = at[own]
+        packed = np.full(len(begin), np.uint64(s) << np.uint64(60))
+        for j in range(count):
+            packed |= padded[begin + j] << np.uint64(j * bits)
+        out[where[own]] = packed
     return out, where[chosen == ESCAPE]
 
 
 def _chain(step: np.ndarray) -> np.ndarray:
-    """The places 0, 0 + step[0], ... before the end; only each eighth is found one by one."""
+    """The places 0, 0 + step[0], ... before the end; only each 64th is found one by one."""
     n = len(step)
-    to = [np.minimum(np.arange(n) + step, n)]
-    to[0] = np.append(to[0], n)
-    for _ in range(3):
+    to = [np.append(np.minimum(np.arange(n) + step, n), n)]
+    for _ in range(6):
         to.append(to[-1][to[-1]])
-    far, at, i = to[3].tolist(), [], 0
+    far, at, i = to.pop(), [], 0
     while i < n:
         at.append(i)
-        i = far[i]
+        i = int(far[i])
     at = np.array(at)
-    for hop in (to[2], to[1], to[0]):
+    for hop in reversed(to):
         at = np.column_stack([at, hop[at]]).ravel()
     return at[at < n]
 
@@ -189,6 +191,10 @@ class Tokens:
         self._whole = any(t[flag] for t in added for flag in ("lstrip", "rstrip", "single_word", "normalized"))
         strings = sorted((t["content"].encode() for t in added), key=len, reverse=True)  # the longest goes first
         self._added = re.compile(b"|".join(map(re.escape, strings))) if strings else None
+        vocabulary = self._tokenizer.get_vocab()
+        # a character of a byte-level token stands for one byte
+        self._lengths = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
+        self._lengths[list(vocabulary.values())] = list(map(len, vocabulary))
         self._cache = SegmentCache(self._new, KEPT)
 
     @classmethod
@@ -200,6 +206,42 @@ class Tokens:
         return _TOKENS[model]
 
     def _new(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of segments in a row, and how many each has.
+
+        A segment that begins with a space and ends in visible ASCII is matched alike after
+        another one (``boundaries``). Many such segments are one text, and the lengths of its
+        tokens tell which ids are whose.
+        """
+        if self._whole:
+            return self._apart(parts)
+        joined = np.fromiter((p[0] == 0x20 and _PLAIN[p[-1]] for p in parts), bool, len(parts))
+        along, where = list(compress(parts, joined)), np.flatnonzero(joined)
+        sizes, found = np.zeros(len(parts), np.int64), []
+        for i in range(0, len(along), JOINED):
+            ids, size = self._in_one(along[i : i + JOINED])
+            found.append(ids)
+            sizes[where[i : i + JOINED]] = size
+        others, sizes[~joined] = self._apart(list(compress(parts, ~joined)))
+        if not found:
+            return others, sizes
+        out, mine = np.empty(int(sizes.sum()), np.int32), np.repeat(joined, sizes)
+        out[mine], out[~mine] = np.concatenate(found), others
+        return out, sizes
+
+    def _in_one(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        text = b"".join(parts)
+        if self._added and self._added.search(text):
+            return self._apart(parts)
+        found = self._tokenizer.encode_batch_fast([text.decode()], add_special_tokens=False)
+        ids = np.array(found[0].ids, np.int32)
+        reach = np.cumsum(self._lengths[ids])
+        ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))
+        last = np.searchsorted(reach, ends)
+        if not len(reach) or reach[-1] != ends[-1] or (reach[last] != ends).any():
+            return self._apart(parts)  # not a token a run of bytes
+        return ids, np.diff(last, prepend=-1)
+
+    def _apart(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         out = []
         for i in range(0, len(parts), 20_000):
             found = self._tokenizer.encode_batch_fast([p.decode() for p in parts[i : i + 20_000]], add_special_tokens=False)
