@@ -289,7 +289,8 @@ def _across(index: DataFrame, sets: DataFrame) -> DataFrame:
         return pairs
     left = work.written(set_atoms(crowded, sets), "set-atoms")
     for k in range(1, MOST_K + 1):
-        keyed = left.mapInArrow(partial(_atom_key_rows, k), "node long, key long, n long, level long, top boolean, label long")
+        # written first: both sides of the join with the sizes of keys read them
+        keyed = work.written(left.mapInArrow(partial(_atom_key_rows, k), "node long, key long, n long, level long, top boolean, label long"), "atom-keys")
         atoms = work.written(_with_outside(keyed).where("outside > 0"), "atom-index")
         onward = work.written(atoms.where(F.col("outside") > CROWD).where("not top").select("node").distinct(), "crowded-sets")
         # two sets that go on have more than k atoms in common if they link, so a later k compares them
