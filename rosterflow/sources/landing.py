@@ -33,8 +33,16 @@ class Landing(NamedTuple):
 
 
 def _file(c: str):
-    """One spelling of a file name, as listings and rows have different ones."""
-    return F.regexp_replace(F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B"))), "^file:/+", "file:/")
+    """One spelling of a file name, as listings and rows have different ones.
+
+    Every landed row has one, so names without an escape are not decoded, and those that
+    listings give need no pattern.
+    """
+    name = F.col(c)
+    plain = F.when(F.contains(name, F.lit("%")), F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))).otherwise(name)
+    few = F.startswith(plain, F.lit("file:///")) & ~F.startswith(plain, F.lit("file:////"))
+    local = F.when(few, F.concat(F.lit("file:/"), F.substring(plain, 9, 1 << 30))).otherwise(F.regexp_replace(plain, "^file:/+", "file:/"))
+    return F.when(F.startswith(plain, F.lit("file://")), local).otherwise(plain)
 
 
 def list_files(spark: SparkSession, path: str, file_format: str) -> DataFrame:
