@@ -4,6 +4,7 @@ from rosterflow.sinks.lists import (
     arranged,
     commit_registry,
     land_roster,
+    read_course_lists,
     run_path,
     write_audit,
     write_consolidated,
@@ -18,6 +19,7 @@ __all__ = [
     "arranged",
     "commit_registry",
     "land_roster",
+    "read_course_lists",
     "run_path",
     "write_audit",
     "write_consolidated",
