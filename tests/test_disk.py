@@ -64,6 +64,15 @@ def test_commands_of_arranged_rows_are_in_order(spark):
     assert enrolment.staff_commands(*views, arrange=sinks.arranged).collect() == plain.collect()
 
 
+def test_placed_rows_are_arranged_without_a_join(spark):
+    listed = fx.courses(spark, SMALL).withColumns({"src_file": F.lit("list"), "row_no": -F.col("nrc").cast("bigint")})
+    views = [fx.teachers(spark, SMALL), fx.students(spark, SMALL), fx.coordinators(spark, SMALL), fx.users(spark, SMALL)]
+    joined = enrolment.staff_commands(fx.courses(spark, SMALL), *views, arrange=lambda rows: sinks.arranged(rows, listed))
+    placed = enrolment.staff_commands(roster.placed_courses(listed), *views, arrange=lambda rows: sinks.arranged(rows, listed))
+    assert sorted(placed.columns) == sorted(joined.columns)
+    assert placed.select(joined.columns).collect() == joined.collect()
+
+
 def test_lines_are_placed_without_a_shuffle(spark, no_broadcast):
     for query in ("sink_hot_course_list", "course_list_order"):
         plan = plan_of(QUERIES[query](spark, SMALL))
