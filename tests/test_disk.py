@@ -58,6 +58,11 @@ ROWS = [
 ]
 
 
+def test_lines_are_not_sorted_again(spark):
+    plan = plan_of(QUERIES["consolidated_commands"](spark, SMALL))
+    assert "Sort [" not in plan[: plan.index("posexplode")]
+
+
 def test_commands_of_arranged_rows_are_in_order(spark):
     views = [fx.courses(spark, SMALL), fx.teachers(spark, SMALL), fx.students(spark, SMALL), fx.coordinators(spark, SMALL), fx.users(spark, SMALL)]
     plain = enrolment.staff_commands(*views).orderBy(*COMMAND_ORDER)
