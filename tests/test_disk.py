@@ -84,6 +84,30 @@ def test_lines_are_placed_without_a_shuffle(spark, no_broadcast):
         assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
 
 
+@pytest.mark.parametrize("process", list(Process))
+def test_rows_that_need_no_person_give_the_same_commands(spark, process):
+    listed, rows = courses(spark, "1", "2"), students(spark, ROWS)
+    users = spark.createDataFrame([("7",)], "user_name string")
+    whole = enrolment.commands_of_students(enrolment.matched_students(listed, rows, process), users, process)
+    lean = enrolment.student_commands(listed, rows, users, process)
+    assert sorted(map(repr, lean.collect())) == sorted(map(repr, whole.collect())) != []
+
+
+def test_rows_without_person_carry_none(spark):
+    person = programme.names_person(Process.MIXED)
+    rows = enrolment.matched_students(courses(spark, "1", "2"), students(spark, ROWS), Process.MIXED, person=person).collect()
+    for r in rows:
+        left = r.status in ("Cancelado", "Eliminado")
+        assert all((r[c] is None) == left for c in PERSON), r
+    assert {r.status in ("Cancelado", "Eliminado") for r in rows} == {True, False}
+
+
+def test_buyers_meet_orders_first(spark, no_broadcast):
+    plan = plan_of(fx.students(spark, SMALL))
+    assert re.search(r"SortMergeJoin \[o_custkey", plan)
+    assert plan.index("[l_orderkey") < plan.index("[o_custkey")
+
+
 def test_gzipped_lists_hold_the_same_lines(spark, tmp_path):
     cmds = enrolment.teacher_commands(fx.courses(spark, SMALL), fx.teachers(spark, SMALL), fx.users(spark, SMALL)).localCheckpoint()
     plain, pressed = str(tmp_path / "plain"), str(tmp_path / "pressed")
