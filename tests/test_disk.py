@@ -102,6 +102,11 @@ def test_rows_without_person_carry_none(spark):
     assert {r.status in ("Cancelado", "Eliminado") for r in rows} == {True, False}
 
 
+def test_terms_do_not_shuffle_a_roster(spark, no_broadcast):
+    pruned = sources.prune_to_terms(students(spark, ROWS), courses(spark, "1"), cut=True)
+    assert "SortMergeJoin" not in plan_of(pruned) and pruned.count() == len(ROWS)
+
+
 def test_buyers_meet_orders_first(spark, no_broadcast):
     plan = plan_of(fx.students(spark, SMALL))
     assert re.search(r"SortMergeJoin \[o_custkey", plan)
