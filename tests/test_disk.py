@@ -102,6 +102,18 @@ def test_rows_without_person_carry_none(spark):
     assert {r.status in ("Cancelado", "Eliminado") for r in rows} == {True, False}
 
 
+@pytest.mark.parametrize("process", list(Process))
+def test_logged_is_asked_before_the_match(spark, process, no_broadcast):
+    matched = enrolment.matched_students(courses(spark, "1", "2"), students(spark, ROWS), process)
+    reason = F.col("skip_reason")
+    later = matched.where(reason.isNull() | (reason != "status"))
+    assert sorted(map(repr, matched.where(programme.logged(process)).collect())) == sorted(map(repr, later.collect()))
+    if process is Process.ENROL:
+        plan = plan_of(matched.where(programme.logged(process)))
+        filters = [i for i, line in enumerate(plan.splitlines()) if "Filter" in line and "Inscrito" in line]
+        assert min(filters) > next(i for i, line in enumerate(plan.splitlines()) if "SortMergeJoin" in line)
+
+
 def test_terms_do_not_shuffle_a_roster(spark, no_broadcast):
     pruned = sources.prune_to_terms(students(spark, ROWS), courses(spark, "1"), cut=True)
     assert "SortMergeJoin" not in plan_of(pruned) and pruned.count() == len(ROWS)
